@@ -3,18 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarnlake.llm.conversations import rebuild_conversations
+from tarnlake.llm.language import languages_of_documents, train_language_model, wrong_labels
 from tarnlake.llm.sql import SQL
 from tarnlake.session import table
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing or wrong language labels of lines and datasets, and documents in several languages."""
+    docs = table(spark, sf, "documents")
+    messages = table(spark, sf, "text_line_sft").select("dataset_id", "content").unionByName(table(spark, sf, "text_line_dpo").select("dataset_id", "content"))
+    cases, _ = wrong_labels(docs, table(spark, sf, "text_line"), table(spark, sf, "text_meta"), messages, train_language_model(docs))
+    return cases
+
+
+def p4_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every passage of every document with its language and confidence."""
+    docs = table(spark, sf, "documents")
+    found = languages_of_documents(docs, train_language_model(docs))
+    return found.select("line_id", F.col("lang").alias("main_lang"), F.col("confidence").alias("main_confidence"), F.explode_outer("passages").alias("p")).select("line_id", "main_lang", "main_confidence", "p.lang", "p.start", "p.end", "p.confidence")
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """All good conversations of text_line_sft, message by message."""
     return rebuild_conversations(table(spark, sf, "text_line_sft"))
 
 
-QUERIES = {"p5_found": p5_found}
+QUERIES = {"p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found}
 
 
 def oracle_sql() -> dict[str, str]:
