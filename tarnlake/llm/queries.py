@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm.conversations import rebuild_conversations
+from tarnlake.llm.encoding import restore_garbled, train_char_model
 from tarnlake.llm.language import languages_of_documents, train_language_model, wrong_labels
 from tarnlake.llm.sql import SQL
 from tarnlake.session import table
@@ -31,7 +32,19 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return rebuild_conversations(table(spark, sf, "text_line_sft"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found}
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents some of whose text was decoded with the wrong encoding."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return restore_garbled(docs, train_char_model(docs)).select("doc_id")
+
+
+def p9_restored(spark: SparkSession, sf: str) -> DataFrame:
+    """The garbled documents with their text restored and the chains that did it."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return restore_garbled(docs, train_char_model(docs))
+
+
+QUERIES = {"p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p9_found": p9_found, "p9_restored": p9_restored}
 
 
 def oracle_sql() -> dict[str, str]:
