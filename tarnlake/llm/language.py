@@ -144,14 +144,29 @@ def _rows(model: LanguageModel) -> WordRows:
     return _TABLES[model.uid]
 
 
-def train_language_model(documents: DataFrame, bound: int = 3_000, longest: int = 20_000) -> LanguageModel:
-    """Fitted on at most ``bound`` documents (line_id, text, lang) whose declared language is one of the six.
+def labelled_sample(documents: DataFrame, bound: int = 3_000, longest: int = 20_000) -> pd.DataFrame:
+    """(text, lang) of at most ``bound`` ``documents`` (line_id, text, lang) whose declared language is one of the six.
 
-    The sample is the first by hash of line_id; documents over ``longest`` characters don't enter it.
+    They are the first by hash of line_id; documents over ``longest`` characters don't enter.
     """
     known = documents.select("line_id", "text", named_language(F.col("lang")).alias("lang")).where(F.col("lang").isin(*LANGS) & (F.length("text") <= longest))
-    got = known.orderBy(F.xxhash64("line_id"), "line_id").limit(bound).select("text", "lang").toPandas()
-    return LanguageModel.fit(got.text.tolist(), got.lang.tolist())
+    return known.orderBy(F.xxhash64("line_id"), "line_id").limit(bound).select("text", "lang").toPandas()
+
+
+def train_language_model(sample: pd.DataFrame) -> LanguageModel:
+    return LanguageModel.fit(sample.text.tolist(), sample.lang.tolist())
+
+
+def small_repair(sample: pd.DataFrame):
+    """A function that restores a wrongly decoded text, by a character model of the bounded ``sample`` only.
+
+    Enough to judge a text's language; finding all garbled documents is encoding.restore_garbled's task.
+    """
+    from tarnlake.llm.encoding import CharModel, count_pairs, seems_clean
+
+    clean = [t for t in sample.text if not t.isascii() and seems_clean(t)]
+    model = CharModel(*count_pairs(clean)).calibrate(clean[:600])
+    return lambda t: model.restore(t)[0] if not t.isascii() and model.suspects(t) else t
 
 
 #: Words a sentence must have to be judged, a Han character counting half; confidence it must reach.
@@ -202,12 +217,29 @@ def judge(model: LanguageModel, texts: list[str]) -> list[tuple | None]:
     return out
 
 
+def portions(texts: list[str], most: int = 200_000):
+    """``texts`` in lists of some ``most`` characters, so that the matrices over their words stay small."""
+    part, n = [], 0
+    for t in texts:
+        part.append(t)
+        n += len(t) + 20
+        if n >= most:
+            yield part
+            part, n = [], 0
+    if part:
+        yield part
+
+
 def label_udf(model: LanguageModel):
     """Column function: (lang, confidence) of a text as a whole; null for null and for texts without words."""
 
     @F.pandas_udf("lang string, confidence double")
     def run(texts: pd.Series) -> pd.DataFrame:
-        said, conf = model.label(texts.fillna("").tolist())
+        said, conf = [], []
+        for part in portions(texts.fillna("").tolist()):
+            a, b = model.label(part)
+            said += a
+            conf += b.tolist()
         return pd.DataFrame({"lang": said, "confidence": [c if s else None for s, c in zip(said, conf)]})
 
     return run
@@ -219,7 +251,9 @@ def passages_udf(model: LanguageModel, least_sentences: int = 2, repair=None):
     @F.pandas_udf(PASSAGES)
     def run(texts: pd.Series) -> pd.DataFrame:
         ts = texts.fillna("").tolist()
-        got = judge(model, repair(ts) if repair else ts)
+        got = []
+        for part in portions(ts):
+            got += judge(model, [repair(t) for t in part] if repair else part)
         rows = [(None, None, []) if g is None else (g[0], g[1], [{"lang": x[0], "start": x[1], "end": x[2], "confidence": x[3]} for x in g[2] if x[4] >= least_sentences]) for g in got]
         return pd.DataFrame(rows, columns=["lang", "confidence", "passages"])
 

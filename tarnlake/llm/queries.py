@@ -7,23 +7,31 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm.conversations import rebuild_conversations
 from tarnlake.llm.encoding import restore_garbled, train_char_model
-from tarnlake.llm.language import languages_of_documents, train_language_model, wrong_labels
+from tarnlake.llm.language import labelled_sample, languages_of_documents, small_repair, train_language_model, wrong_labels
 from tarnlake.llm.sql import SQL
 from tarnlake.session import table
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Arrow batches of long texts must stay small where two Python workers share an executor."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """Missing or wrong language labels of lines and datasets, and documents in several languages."""
     docs = table(spark, sf, "documents")
     messages = table(spark, sf, "text_line_sft").select("dataset_id", "content").unionByName(table(spark, sf, "text_line_dpo").select("dataset_id", "content"))
-    cases, _ = wrong_labels(docs, table(spark, sf, "text_line"), table(spark, sf, "text_meta"), messages, train_language_model(docs))
+    some = labelled_sample(docs)
+    cases, _ = wrong_labels(docs, table(spark, sf, "text_line"), table(spark, sf, "text_meta"), messages, train_language_model(some), small_repair(some))
     return cases
 
 
 def p4_passages(spark: SparkSession, sf: str) -> DataFrame:
     """Every passage of every document with its language and confidence."""
     docs = table(spark, sf, "documents")
-    found = languages_of_documents(docs, train_language_model(docs))
+    some = labelled_sample(docs)
+    found = languages_of_documents(docs, train_language_model(some), small_repair(some))
     return found.select("line_id", F.col("lang").alias("main_lang"), F.col("confidence").alias("main_confidence"), F.explode_outer("passages").alias("p")).select("line_id", "main_lang", "main_confidence", "p.lang", "p.start", "p.end", "p.confidence")
 
 
@@ -44,7 +52,16 @@ def p9_restored(spark: SparkSession, sf: str) -> DataFrame:
     return restore_garbled(docs, train_char_model(docs))
 
 
-QUERIES = {"p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p9_found": p9_found, "p9_restored": p9_restored}
+def _run(query):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf)
+
+    run.__doc__ = query.__doc__
+    return run
+
+
+QUERIES = {k: _run(f) for k, f in {"p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
