@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tarnlake.llm.conversations import rebuild_conversations
 from tarnlake.llm.encoding import restore_garbled, train_char_model
 from tarnlake.llm.language import labelled_sample, languages_of_documents, small_repair, train_language_model, wrong_labels
+from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
+from tarnlake.llm.subjects import subjects_of
+from tarnlake.operators.hierarchy import clean_id, clean_parent
 from tarnlake.session import table
 
 
@@ -18,6 +21,33 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def _openings(spark: SparkSession, sf: str) -> DataFrame:
+    """(line_id, text) of the chat openings: no parent, a user role, content; one row a line."""
+    rows = table(spark, sf, "text_line_sft").where(clean_parent(F.col("frontID")).isNull() & (speaker(F.col("role")) == "user") & has_content(F.col("content")))
+    return rows.groupBy(clean_id(F.col("line_id")).alias("line_id")).agg(F.max("content").alias("text")).where("line_id is not null")
+
+
+def _subjects(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "review_label").select("line_id", "subjects")
+    repair = small_repair(labelled_sample(docs))
+    of_docs = subjects_of(docs.select("line_id", "text").where("line_id is not null"), labels, least_sentences=2, repair=repair)
+    return of_docs.unionByName(subjects_of(_openings(spark, sf), labels, least_sentences=1))
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The subject areas of every document and chat opening."""
+    return _subjects(spark, sf).select("line_id", F.explode("subjects").alias("subject")).distinct()
+
+
+def p1_composition(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and openings by subject, with their share of all; texts without a subject count under "none"."""
+    found = _subjects(spark, sf)
+    named = found.select(F.explode(F.when(F.size("subjects") > 0, F.col("subjects")).otherwise(F.array(F.lit("none")))).alias("subject"))
+    total = found.agg(F.count("*").alias("total"))
+    return named.groupBy("subject").agg(F.count("*").alias("n_texts")).join(F.broadcast(total)).select("subject", "n_texts", (F.col("n_texts") / F.col("total")).alias("share"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """Missing or wrong language labels of lines and datasets, and documents in several languages."""
     docs = table(spark, sf, "documents")
@@ -61,7 +91,7 @@ def _run(query):
     return run
 
 
-QUERIES = {k: _run(f) for k, f in {"p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
+QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
