@@ -10,6 +10,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -53,9 +54,9 @@ def named_language(c: Column) -> Column:
 
 @lru_cache(maxsize=None)
 def codewords(n: int) -> np.ndarray:
-    """Exhaustive code for n classes: 2**(n-1) - 1 columns of +-1, every pair of words 2**(n-2) apart."""
-    cols = [[1] + [1 if (b >> k) & 1 else -1 for k in range(n - 1)] for b in range(2 ** (n - 1) - 1)]
-    return np.array(cols, np.float32).T
+    """Code for n classes, +-1: each class against the rest, and every split into halves (for 6: 16 bits, words 8 apart)."""
+    sets = {frozenset([i]) for i in range(n)} | {frozenset(c) for c in combinations(range(n), n // 2) if 0 in c or n % 2}
+    return np.array([[1.0 if i in c else -1.0 for c in sorted(sets, key=sorted)] for i in range(n)], np.float32)
 
 
 class LanguageModel:
@@ -150,7 +151,8 @@ def labelled_sample(documents: DataFrame, bound: int = 3_000, longest: int = 20_
     They are the first by hash of line_id; documents over ``longest`` characters don't enter.
     """
     known = documents.select("line_id", "text", named_language(F.col("lang")).alias("lang")).where(F.col("lang").isin(*LANGS) & (F.length("text") <= longest))
-    return known.orderBy(F.xxhash64("line_id"), "line_id").limit(bound).select("text", "lang").toPandas()
+    ids = F.broadcast(known.select("line_id").orderBy(F.xxhash64("line_id"), "line_id").limit(bound))  # ids only: each task sends its first ones
+    return known.join(ids, "line_id", "left_semi").select("text", "lang").toPandas()
 
 
 def train_language_model(sample: pd.DataFrame) -> LanguageModel:
@@ -162,11 +164,12 @@ def small_repair(sample: pd.DataFrame):
 
     Enough to judge a text's language; finding all garbled documents is encoding.restore_garbled's task.
     """
-    from tarnlake.llm.encoding import CharModel, count_pairs, seems_clean
+    from tarnlake.llm.encoding import UTF8_LOOK, CharModel, count_pairs, seems_clean
 
     clean = [t for t in sample.text if not t.isascii() and seems_clean(t)]
     model = CharModel(*count_pairs(clean)).calibrate(clean[:600])
-    return lambda t: model.restore(t)[0] if not t.isascii() and model.suspects(t) else t
+    usual = {c for c, n in Counter(c for t in clean for c in set(t)).items() if n > 2} | {chr(i) for i in range(128)}
+    return lambda t: t if t.isascii() or (usual.issuperset(t) and not UTF8_LOOK.search(t)) else model.restore(t)[0]
 
 
 #: Words a sentence must have to be judged, a Han character counting half; confidence it must reach.
