@@ -10,7 +10,9 @@ from tarnlake.llm.encoding import restore_garbled, train_char_model
 from tarnlake.llm.language import labelled_sample, languages_of_documents, small_repair, train_language_model, wrong_labels
 from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
+from tarnlake.llm.mixing import named_source
 from tarnlake.llm.subjects import subjects_of
+from tarnlake.llm.toxicity import judged_harmless, score_texts, train_tagger
 from tarnlake.operators.hierarchy import clean_id, clean_parent
 from tarnlake.session import table
 
@@ -48,6 +50,31 @@ def p1_composition(spark: SparkSession, sf: str) -> DataFrame:
     return named.groupBy("subject").agg(F.count("*").alias("n_texts")).join(F.broadcast(total)).select("subject", "n_texts", (F.col("n_texts") / F.col("total")).alias("share"))
 
 
+def _tagger(spark: SparkSession, sf: str):
+    return train_tagger(judged_harmless(table(spark, sf, "documents"), table(spark, sf, "review_label")))
+
+
+def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """(record_id, item_no, origin, score) of every document and every element of a text list."""
+    docs = table(spark, sf, "documents").where("line_id is not null")
+    requests = table(spark, sf, "import_text_item").where("request_id is not null")
+    of_docs = docs.select(F.col("line_id").alias("record_id"), F.lit(0).cast("long").alias("item_no"), F.concat(F.lit("source:"), named_source(F.col("source"))).alias("origin"), "text")
+    items = requests.select("request_id", "caller", F.posexplode("text_list").alias("at", "text"))
+    of_items = items.select(F.col("request_id").cast("string").alias("record_id"), (F.col("at") + 1).cast("long").alias("item_no"), F.concat(F.lit("caller:"), named_source(F.col("caller"))).alias("origin"), "text")
+    return score_texts(of_docs.unionByName(of_items), _tagger(spark, sf), small_repair(labelled_sample(docs, 1_000))).drop("text")
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts that abuse, threaten, degrade a group or depict sex themselves."""
+    return _toxicity(spark, sf).where("score > 0.5").select("record_id", "item_no").distinct()
+
+
+def p2_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts, offending texts and mean score by source and caller, repeated requests counted once."""
+    each = _toxicity(spark, sf).groupBy("record_id", "item_no").agg(F.max("score").alias("score"), F.min("origin").alias("origin"))
+    return each.groupBy(F.coalesce("origin", F.lit("unknown")).alias("origin")).agg(F.count("*").alias("n_texts"), F.sum((F.col("score") > 0.5).cast("long")).alias("n_offending"), F.avg("score").alias("mean_score"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """Missing or wrong language labels of lines and datasets, and documents in several languages."""
     docs = table(spark, sf, "documents")
@@ -91,7 +118,7 @@ def _run(query):
     return run
 
 
-QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
+QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
