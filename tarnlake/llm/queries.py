@@ -10,7 +10,7 @@ from tarnlake.llm.encoding import restore_garbled, train_char_model
 from tarnlake.llm.language import labelled_sample, languages_of_documents, small_repair, train_language_model, wrong_labels
 from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
-from tarnlake.llm.mixing import named_source
+from tarnlake.llm.mixing import mix, named_source
 from tarnlake.llm.subjects import subjects_of
 from tarnlake.llm.toxicity import judged_harmless, score_texts, train_tagger
 from tarnlake.operators.hierarchy import clean_id, clean_parent
@@ -97,6 +97,16 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return rebuild_conversations(table(spark, sf, "text_line_sft"))
 
 
+def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents of every mix of mix_target and how often each is repeated."""
+    return mix(table(spark, sf, "documents"), table(spark, sf, "mix_target"))[0]
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Target and actual shares of every mix."""
+    return mix(table(spark, sf, "documents"), table(spark, sf, "mix_target"))[1]
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents some of whose text was decoded with the wrong encoding."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -118,7 +128,7 @@ def _run(query):
     return run
 
 
-QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
+QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
