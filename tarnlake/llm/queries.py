@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarnlake.llm.conversations import rebuild_conversations
 from tarnlake.llm.encoding import restore_garbled, train_char_model
 from tarnlake.llm.language import labelled_sample, languages_of_documents, small_repair, train_language_model, wrong_labels
+from tarnlake.llm.leaks import find_leaks
 from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
 from tarnlake.llm.mixing import mix, named_source
@@ -97,6 +98,17 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return rebuild_conversations(table(spark, sf, "text_line_sft"))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold more than half of a test item's own text, and the items."""
+    return find_leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "eval_item")).select("doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, sf: str) -> DataFrame:
+    """How many documents hold each test item that leaked, and the largest share held."""
+    found = find_leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "eval_item"))
+    return found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("share").alias("largest_share"))
+
+
 def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
     """The documents of every mix of mix_target and how often each is repeated."""
     return mix(table(spark, sf, "documents"), table(spark, sf, "mix_target"))[0]
@@ -128,7 +140,7 @@ def _run(query):
     return run
 
 
-QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
+QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
