@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.llm.answers import defective_answers
 from tarnlake.llm.conversations import rebuild_conversations
 from tarnlake.llm.encoding import restore_garbled, train_char_model
 from tarnlake.llm.language import labelled_sample, languages_of_documents, small_repair, train_language_model, wrong_labels
@@ -98,6 +99,21 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return rebuild_conversations(table(spark, sf, "text_line_sft"))
 
 
+def _defects(spark: SparkSession, sf: str) -> DataFrame:
+    languages = train_language_model(labelled_sample(table(spark, sf, "documents")))
+    return defective_answers(table(spark, sf, "text_line_sft"), languages)
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Defective answers of text_line_sft with their defect."""
+    return _defects(spark, sf)
+
+
+def p6_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Defective answers by dataset (the first four digits of the line) and defect."""
+    return _defects(spark, sf).groupBy(F.substring("line_id", 1, 4).alias("dataset"), "defect").agg(F.count("*").alias("n_answers"))
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that hold more than half of a test item's own text, and the items."""
     return find_leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "eval_item")).select("doc_id", "item_id")
@@ -140,7 +156,7 @@ def _run(query):
     return run
 
 
-QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
+QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p6_found": p6_found, "p6_rates": p6_rates, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
