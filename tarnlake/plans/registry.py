@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnlake.plans import trees
+from tarnlake.plans import texts, trees
 
-MODULES = [trees]
+MODULES = [texts, trees]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
