@@ -162,12 +162,14 @@ def train_language_model(sample: pd.DataFrame) -> LanguageModel:
 def small_repair(sample: pd.DataFrame):
     """A function that restores a wrongly decoded text, by a character model of the bounded ``sample`` only.
 
-    Enough to judge a text's language; finding all garbled documents is encoding.restore_garbled's task.
+    It tries the common chains only: enough to judge a text's language, subject or tone; finding all garbled
+    documents is encoding.restore_garbled's task.
     """
     from tarnlake.llm.encoding import UTF8_LOOK, CharModel, count_pairs, seems_clean
 
     clean = [t for t in sample.text if not t.isascii() and seems_clean(t)]
     model = CharModel(*count_pairs(clean)).calibrate(clean[:600])
+    model.quick = True
     usual = {c for c, n in Counter(c for t in clean for c in set(t)).items() if n > 2} | {chr(i) for i in range(128)}
     return lambda t: t if t.isascii() or (usual.issuperset(t) and not UTF8_LOOK.search(t)) else model.restore(t)[0]
 

@@ -63,7 +63,7 @@ def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
     of_docs = docs.select(F.col("line_id").alias("record_id"), F.lit(0).cast("long").alias("item_no"), F.concat(F.lit("source:"), named_source(F.col("source"))).alias("origin"), "text")
     items = requests.select("request_id", "caller", F.posexplode("text_list").alias("at", "text"))
     of_items = items.select(F.col("request_id").cast("string").alias("record_id"), (F.col("at") + 1).cast("long").alias("item_no"), F.concat(F.lit("caller:"), named_source(F.col("caller"))).alias("origin"), "text")
-    return score_texts(of_docs.unionByName(of_items), _tagger(spark, sf), small_repair(labelled_sample(docs, 1_000))).drop("text")
+    return score_texts(of_docs.unionByName(of_items), _tagger(spark, sf), small_repair(labelled_sample(docs))).drop("text")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
