@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnlake.plans import texts, trees
+from tarnlake.plans import chats, lakes, texts, trees
 
-MODULES = [texts, trees]
+MODULES = [texts, chats, lakes, trees]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
