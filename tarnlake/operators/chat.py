@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnlake.functions.clean import SPACE
 from tarnlake.functions.fixed import CHAT_KEYS, MESSAGE_KEYS, TAGGED_SPEAKERS
 
 
@@ -40,7 +41,7 @@ def parse_tagged(dialogue: Column) -> Column:
     names = F.create_map(*[F.lit(x) for kv in TAGGED_SPEAKERS.items() for x in kv])
     both = F.arrays_zip(who.alias("who"), said.alias("said"))
     known = F.filter(both, lambda x: F.map_contains_key(names, x["who"]))
-    return F.transform(known, lambda x: F.struct(F.element_at(names, x["who"]).alias("role"), F.trim(x["said"]).alias("content")))
+    return F.transform(known, lambda x: F.struct(F.element_at(names, x["who"]).alias("role"), F.regexp_replace(x["said"], rf"\A{SPACE}+|{SPACE}+\z", "").alias("content")))
 
 
 def end_flags(turns: DataFrame, conversation: str, turn: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnlake.operators import chat
+from tarnlake.plans.texts import _S
 from tarnlake.session import table
 
 
@@ -42,7 +43,7 @@ def chat_key_normalize(spark: SparkSession, sf: str) -> DataFrame:
 def tagged_dialog_parse(spark: SparkSession, sf: str) -> DataFrame:
     m = table(spark, sf, "text_line_sft").where("content is not null").select("line_id", "content").distinct()
     text = F.concat(F.lit("[Human]: "), F.col("content"), F.lit(" <eoh>\n[Else]: x <eoa>[MOSS]:  fine <eoa>"))
-    return m.select("line_id", F.posexplode(chat.parse_tagged(text)).alias("at", "m")).select("line_id", F.col("at").cast("long").alias("at"), "m.role", "m.content")
+    return m.select("line_id", F.posexplode(chat.parse_tagged(text)).alias("at", "m")).select("line_id", F.col("at").cast("long").alias("at_"), "m.role", "m.content")
 
 
 _TURNS = """
@@ -61,5 +62,5 @@ SQL = {
     "dpo_groups": f"""with {_TREE.format(t='text_line_dpo', s="coalesce(cast(score as varchar), 'null')")}
 select p.f.content content, count(*) n_responses, arg_min(c.f.content, (c.f.conv_id, c.f.turn)) first_response, cast(sum(coalesce(c.f.score, 0)) as bigint) score_sum from tree p join tree c on c.parent = p.path group by p.path, p.f.content""",
     "chat_key_normalize": "select distinct line_id, content \"user\", line_id assistant, role other from text_line_sft where content is not null",
-    "tagged_dialog_parse": "with m as (select distinct line_id, content from text_line_sft where content is not null) select line_id, 0 \"at\", 'user' role, trim(content) content from m union all select line_id, 1, 'assistant', 'fine' from m",
+    "tagged_dialog_parse": rf"with m as (select distinct line_id, content from text_line_sft where content is not null) select line_id, 0 at_, 'user' role, regexp_replace(content, '^{_S}+|{_S}+$', '', 'g') content from m union all select line_id, 1, 'assistant', 'fine' from m",
 }
