@@ -59,7 +59,7 @@ def keywords(c: Column, stop_words: list[str], top: int = 5) -> Column:
     """The ``top`` most frequent alphabetic words that aren't stop words, ties by first appearance, joined by ", "."""
     good = F.filter(words(c), lambda w: w.rlike(r"^\p{L}+$") & ~F.array_contains(F.array(*map(F.lit, stop_words)), F.lower(w)))
     best = F.slice(F.array_sort(runs(good)), 1, top)
-    return F.array_join(F.transform(best, lambda r: r["item"]), ", ")
+    return F.when(c.isNotNull(), F.array_join(F.transform(best, lambda r: r["item"]), ", "))
 
 
 def split_sentences(c: Column) -> Column:
