@@ -12,7 +12,7 @@ from tarnlake.session import table
 
 def _turns(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """Messages by conversation: those of one indexID, in line order; repeated lines once."""
-    m = table(spark, sf, name).where("indexID is not null").groupBy("line_id").agg(F.min("indexID").alias("conv_id"), F.min(F.coalesce("role", F.lit(""))).alias("role"), F.min(F.coalesce(F.left("content", F.lit(12)), F.lit(""))).alias("content"), F.max("score").alias("score"))
+    m = table(spark, sf, name).where("indexID is not null").groupBy("line_id").agg(F.min("indexID").alias("conv_id"), F.min(F.coalesce("role", F.lit(""))).alias("role"), F.min(F.coalesce("content", F.lit(""))).alias("content"), F.max("score").alias("score"))
     return m.withColumn("turn", F.row_number().over(Window.partitionBy("conv_id").orderBy("line_id")) - 1)
 
 
@@ -47,7 +47,7 @@ def tagged_dialog_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _TURNS = """
-m as (select line_id, min(indexID) conv_id, min(coalesce(role, '')) role, min(coalesce(left(content, 12), '')) content, max(score) score from {t} where indexID is not null group by 1),
+m as (select line_id, min(indexID) conv_id, min(coalesce(role, '')) role, min(coalesce(content, '')) content, max(score) score from {t} where indexID is not null group by 1),
 turns as (select *, row_number() over (partition by conv_id order by line_id) - 1 turn from m)"""
 _TREE = _TURNS + """,
 p as (select *, string_agg(coalesce(role, '') || chr(1) || content || chr(1) || {s}, chr(2)) over w path, first_value(turn) over w t0 from turns window w as (partition by conv_id order by turn rows unbounded preceding)),

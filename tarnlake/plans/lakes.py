@@ -20,7 +20,7 @@ def pt_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sft_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    return lake.message_metadata(table(spark, sf, "text_line_sft").select("line_id", "role", "content").distinct(), 100)
+    return lake.message_metadata(table(spark, sf, "text_line_sft").select("line_id", "role", "content").distinct())
 
 
 def _sizes(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,7 +101,7 @@ QUERIES = {f.__name__: f for f in (line_ids, pt_metadata, sft_metadata, roll_fil
 SQL = {
     "line_ids": "select doc_id, printf('%04x%04x%08x', dataset_id, r // 100, r % 100) line_id from (select doc_id, dataset_id, row_number() over (partition by dataset_id order by doc_id) - 1 r from documents)",
     "pt_metadata": """select line_id, strlen(text) length, lang as language, left('{' || array_to_string(list_filter([case when source is not null then '"source":' || cast(to_json(source) as varchar) end, '"dataset_id":' || dataset_id], lambda x: x is not null), ',') || '}', 255) other from documents where text is not null""",
-    "sft_metadata": "select line_id, role, left(content, 100) content, case when coalesce(role, '') = '' then 0 else strlen(content) end length from (select distinct line_id, role, content from text_line_sft)",
+    "sft_metadata": "select line_id, role, left(content, 1000) content, case when coalesce(role, '') = '' then 0 else strlen(content) end length from (select distinct line_id, role, content from text_line_sft)",
     "roll_files_cumsum": f"with {_SIZES} select doc_id, cast(floor((sum(n_bytes) over (order by doc_id) - n_bytes) / 65536) as bigint) file_no from s",
     "roll_files_exact": f"""with recursive {_SIZES}, o as (select *, row_number() over (partition by dataset_id order by doc_id) r from s),
 f as (select dataset_id, doc_id, r, n_bytes used, cast(0 as bigint) no from o where r = 1 union all
