@@ -58,6 +58,41 @@ def export_tokens(df: DataFrame, prefix: str, kind: str, *args) -> None:
     ids.write.format("tokens").mode("append").option("dtype", best_type(t.vocab_size)).save(prefix)
 
 
+def export_lines(spark: SparkSession, out: str, path: str, method: str, datasets: list[str] | None = None, conditions: dict[str, str] | None = None, budget: int | None = None, per_file: int = 1 << 26) -> None:
+    """Lines of the lake as JSON parts. ``method``: all (every line of the datasets), budget (in seeded order up to
+    ``budget`` bytes) or select (by metadata ``conditions``, then as budget). Budget and part size count separately.
+    """
+    df = sinks.read_lake(spark, f"{out}/lake", datasets).where("line_id is not null and text <> ''")
+    if method not in ("all", "budget", "select"):
+        raise ValueError(f"unknown method {method}")
+    if method == "select":
+        df = lake.fetch_by_filter(spark.read.parquet(f"{out}/text_line"), df, {k: v if isinstance(v, str) else "|".join(v) for k, v in (conditions or {}).items()})
+    df = df.withColumn("n", (F.octet_length("text") + 1).cast("long"))
+    parts = lake.sample_budget(df, "line_id", "n", budget if method != "all" and budget is not None else 1 << 62, per_file)
+    sinks.export_parts(parts.select("line_id", "text", "part"), path)
+
+
+def delete_titles(spark: SparkSession, out: str, titles: list[str], datasets: list[int] | None = None) -> int:
+    """Delete lines by title from lake and metadata; returns how many."""
+    lines = spark.read.parquet(f"{out}/text_line")
+    hit = F.col("title").isin(titles) if datasets is None else F.col("title").isin(titles) & F.col("dataset_id").isin(datasets)
+    gone = stage(lines.where(hit).select("line_id").distinct(), "gone")
+    n = gone.count()
+    if n:
+        sinks.delete_from_lake(spark, f"{out}/lake", gone)
+        kept = stage(lines.join(gone, "line_id", "left_anti"), "kept")
+        kept.write.mode("overwrite").parquet(f"{out}/text_line")
+    return n
+
+
+def normalize_chat_file(spark: SparkSession, path: str, out: str) -> None:
+    """Chat records of any known shape (one JSON object a line) as {"messages": [...]} lines; records without messages keep their fields."""
+    m = chat.normalize_keys(F.col("value"))
+    df = spark.read.text(path).select(m.alias("m")).where("m is not null")
+    messages = chat.normalize_messages(F.try_element_at("m", F.lit("messages")))
+    df.select(F.when(F.map_contains_key("m", "messages"), F.to_json(F.struct(messages.alias("messages")))).otherwise(F.to_json("m")).alias("value")).write.mode("overwrite").text(out)
+
+
 def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     p = argparse.ArgumentParser(description=__doc__)

@@ -108,3 +108,28 @@ def word_flag(terms: list[str], yes: str, no: str) -> Callable[[Column], Column]
 
 #: Default of the advertising flag: the words of offers.
 advertising = word_flag(["buy now", "discount", "click here", "click now", "special offer", "subscribe", "promo code", "jetzt klicken", "haz clic"], "ad", "not-ad")
+
+
+def load_model(path: str, unpack_to: str | None = None) -> PipelineModel:
+    """A saved pipeline; a zip archive is unpacked first."""
+    if path.endswith(".zip"):
+        import os
+        import zipfile
+
+        target = unpack_to or path[: -len(".zip")]
+        with zipfile.ZipFile(path) as z:
+            z.extractall(target)
+        inner = os.listdir(target)
+        path = target if "metadata" in inner or len(inner) != 1 else os.path.join(target, inner[0])
+    return PipelineModel.load(path)
+
+
+def train_labels(labelled: DataFrame, n: int = 3, features: int = 1 << 15) -> PipelineModel:
+    """A default classifier of (text, label string) by hashed character n-grams and naive Bayes: languages, topics, flags."""
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import IndexToString, NGram, RegexTokenizer, StringIndexer
+
+    index = StringIndexer(inputCol="label", outputCol="label_no", handleInvalid="skip").fit(labelled)
+    return Pipeline(
+        stages=[index, RegexTokenizer(inputCol="text", outputCol="letters", pattern="", minTokenLength=1), NGram(n=n, inputCol="letters", outputCol="grams"), HashingTF(inputCol="grams", outputCol="features", numFeatures=features), NaiveBayes(labelCol="label_no"), IndexToString(inputCol="prediction", outputCol="said", labels=index.labels)]
+    ).fit(labelled)

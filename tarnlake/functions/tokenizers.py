@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 from typing import Protocol
@@ -139,7 +140,37 @@ class WordPieceTokenizer:
         return " ".join(self.words[i] for i in ids).replace(" ##", "")
 
 
-KINDS = {"null": NullTokenizer, "json": JsonTokenizer, "pieces": PieceTokenizer, "ranks": RankTokenizer, "wordpiece": WordPieceTokenizer}
+class TrieTokenizer:
+    """The longest token of a vocabulary file at each place; lines: id, Python literal of the token, its bytes. End of document: ``eod``."""
+
+    def __init__(self, path: str, eod: int = 0):
+        import ast
+
+        self.tokens: dict[bytes, int] = {}
+        with open(path, encoding="utf-8") as f:
+            for line in f:
+                n, _, rest = line.partition(" ")
+                value = ast.literal_eval(rest[: rest.rindex(" ")])
+                self.tokens[value.encode() if isinstance(value, str) else value] = int(n)
+        self.bytes_of = {v: k for k, v in self.tokens.items()}
+        self.longest = max(map(len, self.tokens))
+        self.eod, self.vocab_size = eod, max(self.bytes_of) + 1
+
+    def tokenize(self, text):
+        data, at, out = text.encode(), 0, []
+        while at < len(data):
+            n = next((n for n in range(min(self.longest, len(data) - at), 0, -1) if data[at : at + n] in self.tokens), 0)
+            if not n:
+                raise ValueError(f"byte {data[at]} is in no token")
+            out.append(self.tokens[data[at : at + n]])
+            at += n
+        return out
+
+    def detokenize(self, ids):
+        return b"".join(self.bytes_of[i] for i in ids if i != self.eod).decode("utf-8", "replace")
+
+
+KINDS = {"trie": TrieTokenizer, "null": NullTokenizer, "json": JsonTokenizer, "pieces": PieceTokenizer, "ranks": RankTokenizer, "wordpiece": WordPieceTokenizer}
 
 
 @lru_cache(maxsize=8)
@@ -156,18 +187,22 @@ def padded_vocabulary(size: int, multiple: int = 128, parallel: int = 1) -> int:
     return -(-size // m) * m
 
 
-def encode_udf(kind: str, *args, end_of_document: bool = True):
-    """Column function: (ids, lens) of a text's tokens, the end-of-document id added if there are any; null and empty texts give none."""
+def encode_udf(kind: str, *args, end_of_document: bool = True, by_sentence: bool = False):
+    """Column function: (ids, lens) of a text's tokens, the end-of-document id added to the last sentence if there are any.
+
+    ``by_sentence``: lengths by sentence, else of the whole text. Null and empty texts give none.
+    """
 
     @F.pandas_udf("ids array<int>, lens array<int>")
     def run(texts: pd.Series) -> pd.DataFrame:
         t = build_tokenizer(kind, *args)
         rows = []
         for x in texts:
-            ids = list(t.tokenize(x)) if x else []
-            if ids and end_of_document:
-                ids.append(t.eod)
-            rows.append((ids, [len(ids)] if ids else []))
+            parts = (re.split(r"(?<=[.!?。！？])\s+", x) if by_sentence else [x]) if x else []
+            parts = [p for p in (list(t.tokenize(p)) for p in parts if p) if p]
+            if parts and end_of_document:
+                parts[-1].append(t.eod)
+            rows.append(([i for p in parts for i in p], [len(p) for p in parts]))
         return pd.DataFrame(rows, columns=["ids", "lens"])
 
     return run

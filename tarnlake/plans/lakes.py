@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.operators import lake, packing, vectors
+from tarnlake.operators import lake, packing, pipelines, vectors
 from tarnlake.session import table
 
 
@@ -96,8 +96,30 @@ def semantic_keep(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.keep_decisions(c.select("text_id", "chunk_no", "n_chunks"), hits)
 
 
+def dataset_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return pipelines.dataset_lines(table(spark, sf, "text_line_sft"), "0007").select("line_id", "indexID")
+
+
+def clean_web(spark: SparkSession, sf: str) -> DataFrame:
+    return pipelines.clean_web(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def clean_paper(spark: SparkSession, sf: str) -> DataFrame:
+    return pipelines.clean_paper(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def keywords_zh(spark: SparkSession, sf: str) -> DataFrame:
+    return pipelines.keywords_chinese(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def classifier_rows(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").where("text is not null")
+    r = pipelines.classifier_row(F.col("source"), F.col("text"), ["the", "of"])
+    return d.select("doc_id", F.size(r["doc_token"]).cast("long").alias("n_tokens"), F.get(r["doc_token"], F.lit(0)).alias("first_token"))
+
+
 _SIZES = "s as (select doc_id, dataset_id, strlen(text) + 1 n_bytes from documents where text is not null)"
-QUERIES = {f.__name__: f for f in (line_ids, pt_metadata, sft_metadata, roll_files_cumsum, roll_files_exact, fetch_by_filter, sample_budget, sample_datasets, sample_per_label, split_80_10_10, delete_by_title, register_dataset, flat_names, file_anti_join, similar_top5, semantic_keep)}
+QUERIES = {f.__name__: f for f in (line_ids, pt_metadata, sft_metadata, roll_files_cumsum, roll_files_exact, fetch_by_filter, sample_budget, sample_datasets, sample_per_label, split_80_10_10, delete_by_title, register_dataset, flat_names, file_anti_join, similar_top5, semantic_keep, dataset_lines, clean_web, clean_paper, keywords_zh, classifier_rows)}
 SQL = {
     "line_ids": "select doc_id, printf('%04x%04x%08x', dataset_id, r // 100, r % 100) line_id from (select doc_id, dataset_id, row_number() over (partition by dataset_id order by doc_id) - 1 r from documents)",
     "pt_metadata": """select line_id, strlen(text) length, lang as language, left('{' || array_to_string(list_filter([case when source is not null then '"source":' || cast(to_json(source) as varchar) end, '"dataset_id":' || dataset_id], lambda x: x is not null), ',') || '}', 255) other from documents where text is not null""",
@@ -129,3 +151,13 @@ o as (select h.text_id, list(prefix) p from hits h join ch using (text_id, chunk
 m as (select text_id, list(prefix) p from hits where chunk_no = 1 group by 1), t as (select text_id, max(k) n from ch group by 1)
 select t.text_id, case when o.p is null then true when len(list_distinct(o.p)) < len(o.p) then false when n = 1 then false when n = 2 then true when m.p is null then true else not list_has_any(m.p, o.p) end keep
 from t left join o using (text_id) left join m using (text_id)"""
+
+SQL["dataset_lines"] = "select line_id, indexID from text_line_sft where left(line_id, 4) = '0007'"
+SQL["classifier_rows"] = r"select doc_id, len(w) n_tokens, w[1] first_token from (select doc_id, list_filter(string_split(regexp_replace(text, '[^0-9A-Za-z\x{4e00}-\x{9fa5} ]', '', 'g'), ' '), lambda w: w <> '' and lower(w) not in ('the', 'of')) w from documents where text is not null)"
+SQL["keywords_zh"] = r"""
+with d as (select doc_id, regexp_extract_all(text, '[\x{4e00}-\x{9fff}]{2,}') r from documents where regexp_matches(text, '[\x{4e00}-\x{9fff}]')),
+t as (select doc_id, flatten(list_transform(r, lambda x: list_transform(range(1, length(x)), lambda i: substr(x, i, 2)))) t from d),
+u as (select doc_id, t[i] term, i from (select doc_id, t, unnest(range(1, len(t) + 1)) i from t)),
+c as (select doc_id, term, count(*) n, min(i) first_ from u group by all), f as (select term, ln((select count(*) from d) / count(*)) idf from c group by 1),
+r as (select doc_id, term, row_number() over (partition by doc_id order by round(n * idf, 9) desc, first_) k from c join f using (term))
+select doc_id, string_agg(term, ', ' order by k) keywords from r where k <= 5 group by 1"""

@@ -199,3 +199,36 @@ def read_documents(spark: SparkSession, path: str, convert: dict[str, Callable[[
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path", "content").mapInPandas(run, "title string, text string, error string")
+
+
+def read_whole_json(spark: SparkSession, path: str) -> DataFrame:
+    """JSON files that hold one object or a list over many lines."""
+    return _reader(spark, ".json").option("multiLine", True).json(path)
+
+
+def read_stop_words(path: str) -> list[str]:
+    """One word a line; blank lines and repeats dropped, order kept."""
+    with open(path, encoding="utf-8") as f:
+        return list(dict.fromkeys(w for w in (line.strip() for line in f) if w))
+
+
+def markdown_to_plain(c: Column) -> Column:
+    """Markdown without headings' marks, emphasis, links' targets, images and rules."""
+    c = F.regexp_replace(c, r"!\[[^\]]*\]\([^)]*\)", "")
+    c = F.regexp_replace(c, r"\[([^\]]*)\]\([^)]*\)", "$1")
+    c = F.regexp_replace(c, r"(?m)^\s{0,3}(?:#{1,6}\s+|>\s?|[-*_]{3,}\s*$)", "")
+    return F.regexp_replace(c, r"(\*\*|__|\*|_|`)(\S(?:.*?\S)?)\1", "$2")
+
+
+def file_sizes(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """(path, length) of files below ``path``; contents aren't read."""
+    return _reader(spark, suffix).format("binaryFile").load(path).select("path", "length")
+
+
+def nonempty(files: DataFrame) -> DataFrame:
+    return files.where("length > 0")
+
+
+def pdf_pages(data: bytes) -> int:
+    """Pages of an uncompressed page tree; compressed ones need a converter of their own."""
+    return len(re.findall(rb"/Type\s*/Page(?![a-zA-Z])", data))
