@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions.clean import SPACE
 from tarnlake.functions.fixed import CHAT_KEYS, MESSAGE_KEYS, TAGGED_SPEAKERS
+from tarnlake.operators.hierarchy import clean_id, resolve_trees, tree_nodes
+from tarnlake.operators.lookup import hot_keys, lookup_join
+from tarnlake.session import stage
 
 
 def normalize_keys(record: Column) -> Column:
@@ -45,9 +48,35 @@ def parse_tagged(dialogue: Column) -> Column:
 
 
 def end_flags(turns: DataFrame, conversation: str, turn: str) -> DataFrame:
-    """``end``: "true" for the last message of a conversation that isn't its first, else "false"."""
-    w = Window.partitionBy(conversation)
-    return turns.withColumn("end", F.when((F.col(turn) == F.max(turn).over(w)) & (F.col(turn) > F.min(turn).over(w)), "true").otherwise("false"))
+    """``end``: "true" for the last message of a conversation that isn't its first, else "false".
+
+    First and last turn are aggregated before they are joined back; a conversation that holds much of all rows stays where it is.
+    """
+    ends = turns.groupBy(F.col(conversation).alias("_c")).agg(F.min(turn).alias("_first"), F.max(turn).alias("_last"), F.count("*").alias("_n"))
+    ends = stage(ends, "ends")
+    hot = hot_keys(ends, "_c", "_n", ends.agg(F.coalesce(F.sum("_n"), F.lit(0))).collect()[0][0])
+    joined = lookup_join(turns, ends, F.col(conversation) == F.col("_c"), conversation, "_c", hot)
+    return joined.withColumn("end", F.when((F.col(turn) == F.col("_last")) & (F.col(turn) > F.col("_first")), "true").otherwise("false")).drop("_c", "_first", "_last", "_n")
+
+
+def linked_message_tree(messages: DataFrame, score: str | None = None) -> DataFrame:
+    """As ``message_tree``, for rows that name the line before them (line_id, frontID, role, content, added_date).
+
+    Ways up are resolved by the hierarchy operator with a hash of each message riding along, so a tree may be as wide
+    as it likes: nothing gathers a conversation. Lines whose way up is broken or loops are left out. The smallest
+    line_id stands for a node.
+    """
+    own = F.sha2(F.to_json(F.struct(F.col("role").alias("r"), F.col("content").alias("c"), *([F.col(score).alias("s")] if score else []))), 256)
+    cols = ["role", "content", *([score] if score else [])]
+    rows = stage(messages.withColumn("own", own).withColumn("line_id", clean_id(F.col("line_id"))).where("line_id is not null"), "messages")
+    ways = resolve_trees(tree_nodes(rows, "line_id", "frontID", "added_date", "own"), with_paths=True).where("state = 'whole'")
+    chain = lambda a: F.sha2(F.array_join(a, "/"), 256)
+    n = F.size("path")
+    keyed = ways.select("id", chain(F.col("path")).alias("node"), F.when(n > 1, chain(F.slice("path", 1, F.greatest(n - 1, F.lit(0))))).alias("parent"), (n - 1).cast("long").alias("depth"), F.element_at("path", -1).alias("own"))
+    # one row a line: that whose message the way holds
+    said = rows.groupBy("line_id", "own").agg(F.min(F.struct(*cols)).alias("m")).select(F.col("line_id").alias("id"), "own", "m.*")
+    first = F.min_by(F.struct("id", *cols), "id")
+    return keyed.join(said, ["id", "own"]).groupBy("node", "parent", "depth").agg(first.alias("f"), F.count("*").alias("n_uses")).select("node", "parent", "depth", F.col("f.id").alias("line_id"), *[f"f.{c}" for c in cols], "n_uses")
 
 
 def message_tree(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", score: str | None = None) -> DataFrame:
@@ -76,11 +105,17 @@ def leaf_paths(tree: DataFrame) -> DataFrame:
     return tree.join(tree.select(F.col("parent").alias("node")).where("node is not null").distinct(), "node", "left_anti")
 
 
-def preference_groups(tree: DataFrame, score: str = "score") -> DataFrame:
+def preference_groups(tree: DataFrame, score: str = "score", order: tuple[str, ...] = ("conv_id", "turn")) -> DataFrame:
     """One row per prompt: its responses with scores, ordered by first appearance.
 
-    Responses of one prompt are gathered in one row: a prompt has as many as were sampled for it.
+    Responses of one prompt are gathered in one row, as the result's form demands; ``preference_summary`` doesn't.
     """
-    answers = tree.where("parent is not null").select(F.col("parent").alias("node"), F.struct("conv_id", "turn", "role", "content", score).alias("r"))
+    answers = tree.where("parent is not null").select(F.col("parent").alias("node"), F.struct(*order, "role", "content", score).alias("r"))
     grouped = answers.groupBy("node").agg(F.array_sort(F.collect_list("r")).alias("responses"))
     return tree.select("node", "content").join(grouped, "node")
+
+
+def preference_summary(tree: DataFrame, score: str = "score", order: str = "line_id") -> DataFrame:
+    """(node, content, n_responses, first_response, score_sum) per prompt, aggregated without gathering responses."""
+    answers = tree.where("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n_responses"), F.min_by("content", order).alias("first_response"), F.sum(F.coalesce(score, F.lit(0))).cast("long").alias("score_sum"))
+    return tree.select("node", "content").join(answers, "node")

@@ -117,3 +117,14 @@ def test_threads(spark, tmp_path):
     sinks.write_threads(df, str(tmp_path / "t"), "message")
     line = spark.read.text(str(tmp_path / "t")).collect()[0][0]
     assert json.loads(line) == {"message": [{"role": "u", "content": "a"}]}
+
+
+def test_linked_tree_and_end_flags(spark):
+    rows = [("1", None, "u", "a"), ("2", "1", "a", "b"), ("3", None, "u", "a"), ("4", "3", "a", "b"), ("5", "3", "a", "c"), ("6", "gone", "u", "x"), ("4", "3", "a", "b"), (None, "1", "a", "b")]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "line_id string, frontID string, role string, content string, added_date int")
+    t = chat.linked_message_tree(df)
+    assert {(r.line_id, r.depth, r.n_uses) for r in t.collect()} == {("1", 0, 2), ("2", 1, 2), ("5", 1, 1)}
+    assert {r.line_id for r in chat.leaf_paths(t).collect()} == {"2", "5"}
+    assert chat.linked_message_tree(df.limit(0)).count() == 0
+    turns = spark.createDataFrame([("a", 3), ("a", 5), ("b", 1), (None, 2)], "c string, t int")
+    assert {(r.c, r.t, r.end) for r in chat.end_flags(turns, "c", "t").collect()} == {("a", 3, "false"), ("a", 5, "true"), ("b", 1, "false"), (None, 2, "false")}
