@@ -275,8 +275,11 @@ def passages_udf(model: LanguageModel, least_sentences: int = 2, repair=None):
 
 
 def languages_of_documents(documents: DataFrame, model: LanguageModel, repair=None) -> DataFrame:
-    """``documents`` (line_id, dataset_id, text) -> line_id, dataset_id, lang, confidence, passages; documents without text are left out."""
-    text = documents.where(F.col("text").rlike(r"\S"))
+    """``documents`` (line_id, dataset_id, text) -> line_id, dataset_id, lang, confidence, passages.
+
+    Documents without line_id or text are left out. Places of passages are those in the repaired text, where one was repaired.
+    """
+    text = documents.where(F.col("line_id").isNotNull() & F.col("text").rlike(r"\S"))
     return text.select("line_id", "dataset_id", passages_udf(model, repair=repair)("text").alias("r")).select("line_id", "dataset_id", "r.*")
 
 
