@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +35,25 @@ def build_session(app: str = "tarnlake", master: str | None = None, **conf: str)
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that they need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tarnlake_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tarnlake-code-")  # on the driver only, which serves it
+    atexit.register(shutil.rmtree, folder, True)
+    path = os.path.join(folder, "tarnlake.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(base, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._tarnlake_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the lake's Parquet tables under ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
