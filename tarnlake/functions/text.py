@@ -20,11 +20,11 @@ def let(value: Column, use) -> Column:
 
 def runs(items: Column) -> Column:
     """Of an array: (neg_count, first, item) of each distinct element, by one sort of the array."""
-    s = F.array_sort(F.transform(items, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    s = F.sort_array(F.transform(items, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
 
     def boundaries(s: Column) -> Column:
         starts = F.filter(positions(F.size(s)), lambda i: (i == 0) | (F.get(s, i)["x"] != F.get(s, i - 1)["x"]))
-        return F.transform(starts, lambda p, j: F.struct((p - F.coalesce(F.get(starts, j + 1), F.size(s))).alias("neg_count"), F.get(s, p)["i"].alias("first"), F.get(s, p)["x"].alias("item")))
+        return let(starts, lambda at: F.transform(at, lambda p, j: F.struct((p - F.coalesce(F.get(at, j + 1), F.size(s))).alias("neg_count"), F.get(s, p)["i"].alias("first"), F.get(s, p)["x"].alias("item"))))
 
     return let(s, boundaries)
 
@@ -44,7 +44,7 @@ def ngram_repeat_rate(c: Column, n: int) -> Column:
     def rate(t: Column) -> Column:
         total = F.size(t) - (n - 1)
         grams = F.transform(positions(total), lambda i: F.xxhash64(F.slice(t, i + 1, n)))
-        repeated = let(F.array_sort(grams), lambda g: F.size(F.filter(positions(F.size(g)), lambda i: (i > 0) & (F.get(g, i) == F.get(g, i - 1)) & ((i < 2) | (F.get(g, i - 2) != F.get(g, i - 1))))))
+        repeated = let(F.sort_array(grams), lambda g: F.size(F.filter(positions(F.size(g)), lambda i: (i > 0) & (F.get(g, i) == F.get(g, i - 1)) & ((i < 2) | (F.get(g, i - 2) != F.get(g, i - 1))))))
         return F.when(total > 0, repeated / total).otherwise(F.lit(0.0))
 
     return F.when(c.isNotNull(), let(tokens_for_ngrams(c), rate))
@@ -57,8 +57,8 @@ def words(c: Column) -> Column:
 
 def keywords(c: Column, stop_words: list[str], top: int = 5) -> Column:
     """The ``top`` most frequent alphabetic words that aren't stop words, ties by first appearance, joined by ", "."""
-    good = F.filter(words(c), lambda w: w.rlike(r"^\p{L}+$") & ~F.array_contains(F.array(*map(F.lit, stop_words)), F.lower(w)))
-    best = F.slice(F.array_sort(runs(good)), 1, top)
+    good = F.filter(words(c), lambda w: w.rlike(r"^\p{L}+$") & ~F.lower(w).isin(stop_words))
+    best = F.slice(F.sort_array(runs(good)), 1, top)
     return F.when(c.isNotNull(), F.array_join(F.transform(best, lambda r: r["item"]), ", "))
 
 

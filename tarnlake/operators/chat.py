@@ -88,7 +88,7 @@ def message_tree(turns: DataFrame, conversation: str = "conv_id", turn: str = "t
     turns are gathered in one row; it has as many as were said.
     """
     cols = [turn, "role", "content", *([score] if score else [])]
-    talk = turns.groupBy(conversation).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("m"))
+    talk = turns.groupBy(conversation).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("m"))
 
     def chain(a: Column, x: Column) -> Column:
         own = F.to_json(F.struct(x["role"].alias("r"), x["content"].alias("c"), *([x[score].alias("s")] if score else [])))
@@ -111,7 +111,7 @@ def preference_groups(tree: DataFrame, score: str = "score", order: tuple[str, .
     Responses of one prompt are gathered in one row, as the result's form demands; ``preference_summary`` doesn't.
     """
     answers = tree.where("parent is not null").select(F.col("parent").alias("node"), F.struct(*order, "role", "content", score).alias("r"))
-    grouped = answers.groupBy("node").agg(F.array_sort(F.collect_list("r")).alias("responses"))
+    grouped = answers.groupBy("node").agg(F.sort_array(F.collect_list("r")).alias("responses"))
     return tree.select("node", "content").join(grouped, "node")
 
 

@@ -36,7 +36,7 @@ def pack_exactly(df: DataFrame, keys: list[str], order: str, size: str, limit: i
     The fold needs a group's sizes in one array of (order, size): for groups of bounded size, such as a dataset's file.
     Larger ones take ``files_by_running_sum``.
     """
-    packed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("n"))))
+    packed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("n"))))
     zero = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("no"), F.array().cast("array<struct<o:long,no:long>>").alias("out"))
 
     def step(a: Column, x: Column) -> Column:

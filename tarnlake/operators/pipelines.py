@@ -39,7 +39,7 @@ def clean_paper(df: DataFrame, column: str = "text", normalize: bool = True, per
 def classifier_row(label: Column, c: Column, stop_words: list[str]) -> Column:
     """(doc_label, doc_token, doc_keyword, doc_topic) of a labelled text: words of Latin letters, digits and Han characters only."""
     kept = F.regexp_replace(c, r"[^0-9A-Za-z\x{4e00}-\x{9fa5} ]", "")
-    words = F.filter(F.split(kept, " "), lambda w: (w != "") & ~F.array_contains(F.array(*map(F.lit, stop_words)), F.lower(w)))
+    words = F.filter(F.split(kept, " "), lambda w: (w != "") & ~F.lower(w).isin(stop_words))
     none = F.array().cast("array<string>")
     return F.struct(F.array(label).alias("doc_label"), words.alias("doc_token"), none.alias("doc_keyword"), none.alias("doc_topic"))
 
@@ -57,13 +57,13 @@ def keywords_chinese(df: DataFrame, key: str = "doc_id", column: str = "text", t
     rare = counts.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(total)).select("term", F.log(F.col("total") / F.col("df")).alias("idf"))
     scored = counts.join(rare, "term").select(key, F.struct((-F.round(F.col("n") * F.col("idf"), 9)).alias("s"), "first", "term").alias("x"))
     # a document's terms are those of one text
-    return scored.groupBy(key).agg(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list("x")), 1, top), lambda x: x["term"]), ", ").alias("keywords"))
+    return scored.groupBy(key).agg(F.array_join(F.transform(F.slice(F.sort_array(F.collect_list("x")), 1, top), lambda x: x["term"]), ", ").alias("keywords"))
 
 
 def labels_from_scores(scores: Column, names: list[str], top: int = 3, threshold: float = 0.5) -> Column:
     """The ``top`` names with scores over ``threshold``, best first; ties keep the order of names."""
     pairs = F.transform(scores, lambda s, i: F.struct((-s).alias("neg"), i.alias("i")))
-    best = F.slice(F.array_sort(F.filter(pairs, lambda p: -p["neg"] > threshold)), 1, top)
+    best = F.slice(F.sort_array(F.filter(pairs, lambda p: -p["neg"] > threshold)), 1, top)
     return F.transform(best, lambda p: F.element_at(F.array(*map(F.lit, names)), p["i"] + 1))
 
 
