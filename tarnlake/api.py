@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tarnlake import sinks
 from tarnlake.functions import clean, models, text, tokenizers
-from tarnlake.operators import chat, lake
+from tarnlake.operators import chat, lake, packing, pipelines, vectors
 from tarnlake.session import build_session, stage
 from tarnlake.sources import files
 from tarnlake.sources.token_files import TokenFiles, best_type
@@ -21,6 +21,9 @@ log = logging.getLogger("tarnlake")
 def import_documents(spark: SparkSession, path: str, kind: str, text_key: str, dataset_id: int, out: str) -> DataFrame:
     """Read, clean, drop repeated texts, number, annotate and store documents; returns the metadata rows.
 
+    Repeated are texts equal to another and those that the vector search finds like one before them or like one
+    that an earlier import left in the lake.
+
     ``kind``: parquet, jsonl, json, or documents for files of other formats.
     """
     if kind == "parquet":
@@ -33,6 +36,10 @@ def import_documents(spark: SparkSession, path: str, kind: str, text_key: str, d
         raise ValueError(f"unknown kind {kind}")
     df = df.withColumn("text", clean.clean_common(F.col("text")))
     once = df.withColumn("h", F.sha2("text", 256)).groupBy("h").agg(F.min(F.struct("title", "other", "text")).alias("r")).select("h", "r.*")
+    once = stage(packing.running_sum(once.withColumn("one", F.lit(1).cast("long")), [], ["h"], "one", "text_no"), "once")
+    chunked = stage(vectors.chunk_vectors(once.select("text_no", "text"), pipelines.embed_udf(), 5164, 200), "vectors")
+    kept = stage(vectors.embedded_keep(chunked, _lake_vectors(spark, f"{out}/lake")).where("keep").select(F.col("text_id").alias("text_no")), "kept")
+    once = once.join(kept, "text_no", "left_semi").select("h", "title", "other", "text")
     numbered = stage(lake.number_lines(once.withColumn("ds", F.lit(dataset_id)), F.col("ds"), ["h"]), "import")
     sinks.write_lake(numbered, f"{out}/lake")
     meta = numbered.select("line_id", "title", F.octet_length("text").alias("length"), F.left("other", F.lit(255)).alias("other"), text.ngram_repeat_rate(F.col("text"), 5).alias("fifth_grams"), text.ngram_repeat_rate(F.col("text"), 9).alias("ninth_grams"), models.advertising(F.col("text")).alias("ad_subject"), F.lit(dataset_id).alias("dataset_id"))
@@ -40,6 +47,15 @@ def import_documents(spark: SparkSession, path: str, kind: str, text_key: str, d
     return spark.read.parquet(f"{out}/text_line").where(F.col("dataset_id") == dataset_id)
 
 
+def _lake_vectors(spark: SparkSession, path: str) -> DataFrame | None:
+    """Chunk vectors of the lines of a lake, with negative numbers: they come before whatever is imported; None without a lake."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return None
+    lines = sinks.read_lake(spark, path).where("line_id is not null")
+    return stage(vectors.chunk_vectors(lines.select(F.xxhash64("line_id").bitwiseOR(F.lit(-(1 << 63))).alias("text_no"), "text"), pipelines.embed_udf(), 5164, 200), "lake-vectors")
+
+
 def import_chats(spark: SparkSession, path: str, dataset_id: int, out: str, preferences: bool = False) -> DataFrame:
     """Read and clean chats, store each distinct message path once, write the threads; returns the nodes."""
     turns = files.explode_chats(files.read_chats(spark, path))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -76,14 +77,19 @@ def message_score(c: Column) -> Column:
 
 
 def embed_udf(dim: int = 256):
-    """A stand-in for an embedding model: hashed words and pairs of words, signed, at unit length; no words give zeros."""
+    """A stand-in for an embedding model: hashed words and pairs of words, signed, at unit length; no words give zeros.
+
+    Every Han character is a word, as no spaces stand between Han words.
+    """
+    word = re.compile(r"[㐀-鿿]|[^\s㐀-鿿]+")
+
 
     @F.pandas_udf("array<float>")
     def run(texts: pd.Series) -> pd.Series:
         out = []
         for t in texts:
             v = np.zeros(dim, np.float32)
-            w = t.lower().split() if t else []
+            w = word.findall(t.lower()) if t else []
             for x in [*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))]:
                 h = zlib.crc32(x.encode())
                 v[h % dim] += 1 if h & (1 << 31) else -1

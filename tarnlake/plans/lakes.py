@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.operators import lake, packing, pipelines, vectors
-from tarnlake.session import table
+from tarnlake.session import stage, table
 
 
 def line_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,7 +86,7 @@ def similar_top5(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def semantic_keep(spark: SparkSession, sf: str) -> DataFrame:
-    """Keep decisions on every document by hits of its chunks; documents with the same chunk text stand for neighbours."""
+    """Keep decisions on every document by exact repeats of its chunks only, as SQL can say them; ``embedded_keep`` searches vectors."""
     from tarnlake.functions.text import chunks
 
     d = table(spark, sf, "documents").where("text is not null").select("doc_id", chunks(F.col("text"), 600, 100).alias("c"))
@@ -96,6 +96,12 @@ def semantic_keep(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.keep_decisions(c.select("text_id", "chunk_no", "n_chunks"), hits)
 
 
+def embedded_keep(spark: SparkSession, sf: str) -> DataFrame:
+    """Keep decisions on every document by the vector search over its chunks: nearly equal documents count as repeats."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("long").alias("text_no"), "text")
+    return vectors.embedded_keep(stage(vectors.chunk_vectors(d, pipelines.embed_udf(), 600, 100), "vectors"))
+
+
 def dataset_lines(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.dataset_lines(table(spark, sf, "text_line_sft"), "0007").select("line_id", "indexID")
 
@@ -119,7 +125,7 @@ def classifier_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _SIZES = "s as (select doc_id, dataset_id, strlen(text) + 1 n_bytes from documents where text is not null)"
-QUERIES = {f.__name__: f for f in (line_ids, pt_metadata, sft_metadata, roll_files_cumsum, roll_files_exact, fetch_by_filter, sample_budget, sample_datasets, sample_per_label, split_80_10_10, delete_by_title, register_dataset, flat_names, file_anti_join, similar_top5, semantic_keep, dataset_lines, clean_web, clean_paper, keywords_zh, classifier_rows)}
+QUERIES = {f.__name__: f for f in (line_ids, pt_metadata, sft_metadata, roll_files_cumsum, roll_files_exact, fetch_by_filter, sample_budget, sample_datasets, sample_per_label, split_80_10_10, delete_by_title, register_dataset, flat_names, file_anti_join, similar_top5, semantic_keep, embedded_keep, dataset_lines, clean_web, clean_paper, keywords_zh, classifier_rows)}
 SQL = {
     "line_ids": "select doc_id, printf('%04x%04x%08x', dataset_id, r // 100, r % 100) line_id from (select doc_id, dataset_id, row_number() over (partition by dataset_id order by doc_id) - 1 r from documents)",
     "pt_metadata": """select line_id, strlen(text) length, lang as language, left('{' || array_to_string(list_filter([case when source is not null then '"source":' || cast(to_json(source) as varchar) end, '"dataset_id":' || dataset_id], lambda x: x is not null), ',') || '}', 255) other from documents where text is not null""",

@@ -3,9 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tarnlake import sinks
+from tarnlake import api, sinks
 from tarnlake.functions import models
-from tarnlake.operators import chat, lake, packing, vectors
+from tarnlake.operators import chat, lake, packing, pipelines, vectors
 
 
 def test_packing_never_exceeds(spark):
@@ -96,6 +96,27 @@ def test_keep_decisions(spark):
     assert got == {"one": False, "two": True, "three": False, "free": True, "other": True}
 
 
+def test_embedded_keep(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:59], "other"])
+    rows = [(1, " ".join(words)), (2, near), (3, " ".join(f"x{i}" for i in range(60))), (4, "水果很甜今天天气很好" * 3), (5, "水果很甜今天天气很好" * 3 + "。"), (6, None), (7, " ".join(words))]
+    df = spark.createDataFrame(rows, "text_no long, text string")
+    chunked = vectors.chunk_vectors(df, pipelines.embed_udf(), 600, 100)
+    assert dict(map(tuple, vectors.embedded_keep(chunked).collect())) == {1: True, 2: False, 3: True, 4: True, 5: False, 7: False}
+    store = vectors.chunk_vectors(df.where("text_no = 3").withColumn("text_no", F.lit(-9).cast("long")), pipelines.embed_udf(), 600, 100)
+    assert dict(map(tuple, vectors.embedded_keep(chunked, store).collect()))[3] is False
+    assert vectors.earlier_hits(chunked, chunked, k=5, block=2).count() == vectors.earlier_hits(chunked, chunked).count() == 4
+    assert vectors.embedded_keep(chunked.limit(0)).count() == 0
+
+
+def test_import_drops_near_repeats(spark, tmp_path):
+    words = " ".join(f"w{i}" for i in range(60))
+    for k, lines in enumerate(([words, words + " more", "the harbour and the ferry"], [words + " again", "a wholly new line of text"])):
+        (tmp_path / f"in{k}").mkdir()
+        (tmp_path / f"in{k}" / "a.jsonl").write_text("\n".join(json.dumps({"text": x, "title": "t"}) for x in lines))
+        assert api.import_documents(spark, str(tmp_path / f"in{k}"), "jsonl", "text", k + 1, str(tmp_path / "out")).count() == 2 - k
+
+
 def test_quality(spark):
     good = [("the report on law and court cases was long", 1), ("a study of the law in courts", 1)] * 10
     bad = [("click buy now cheap cheap", 0), ("buy cheap now click", 0)] * 10
