@@ -100,6 +100,21 @@ def test_bound_spares_nothing(tagger):
 # 4
 
 
+def test_low_scores_are_marginals(spark, tagger):
+    import numpy as np
+
+    texts = ["The weather did not help.", "Alle waren da. The ferry was late again! Nobody minded.", "you may close this window now"]
+    want = []
+    for t in texts:
+        toks = toxicity.tokens(t)
+        e, sent, _ = tagger.evidence(toks, np.zeros(len(toks), int))
+        each = tagger.marginals(e, np.unique(sent, return_counts=True)[1])
+        want.append(max(np.sort(m)[-2:].mean() if len(m) > 1 else 0.5 * m.max() for m in each))
+    assert min(want) > 0 and np.allclose(tagger.scores(texts), want)
+    got = toxicity.score_texts(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), tagger).orderBy("i").collect()
+    assert np.allclose([r.score for r in got], want)
+
+
 def test_languages(spark, languages):
     said, conf = languages.label(["The notes say nothing about the reason", "这是因为以前没有人问过他们", "Das Wetter half wenig und der Plan blieb", "La météo n'a pas aidé du tout", "El tiempo no ayudó mucho", "Погода совсем не помогла", "", "123"])
     assert said == ["en", "zh", "de", "fr", "es", "ru", None, None]
