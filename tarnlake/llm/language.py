@@ -159,30 +159,6 @@ def train_language_model(sample: pd.DataFrame) -> LanguageModel:
     return LanguageModel.fit(sample.text.tolist(), sample.lang.tolist())
 
 
-def small_repair(sample: pd.DataFrame):
-    """A function that restores a wrongly decoded text, by a character model of the bounded ``sample`` only.
-
-    It tries the common chains only: enough to judge a text's language, subject or tone; finding all garbled
-    documents is encoding.restore_garbled's task.
-    """
-    from tarnlake.llm.encoding import UTF8_PARTS, UTF8_LOOK, CharModel, count_pairs, seems_clean
-
-    clean = [t for t in sample.text if not t.isascii() and seems_clean(t)]
-    model = CharModel(*count_pairs(clean)).calibrate(clean[:600])
-    model.quick = True
-    usual = {c for c, n in Counter(c for t in clean for c in set(t)).items() if n > 2} | {chr(i) for i in range(128)}
-
-    def repair(t: str) -> str:
-        if t.isascii():
-            return t
-        kinds = set(t)
-        if kinds <= usual and (all(kinds.isdisjoint(a) or kinds.isdisjoint(b) for a, b in UTF8_PARTS) or not UTF8_LOOK.search(t)):
-            return t
-        return model.restore(t)[0]
-
-    return repair
-
-
 #: Words a sentence must have to be judged, a Han character counting half; confidence it must reach.
 LEAST_WORDS, LEAST_CONFIDENCE = 3, 0.6
 PASSAGES = "lang string, confidence double, passages array<struct<lang:string,start:int,end:int,confidence:double>>"

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm.answers import defective_answers
 from tarnlake.llm.conversations import rebuild_conversations
-from tarnlake.llm.encoding import restore_garbled, train_char_model
-from tarnlake.llm.language import labelled_sample, languages_of_documents, small_repair, train_language_model, wrong_labels
+from tarnlake.llm.encoding import full_repair, restore_garbled, train_char_model
+from tarnlake.llm.language import labelled_sample, languages_of_documents, train_language_model, wrong_labels
 from tarnlake.llm.leaks import find_leaks
 from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
@@ -34,7 +34,7 @@ def _openings(spark: SparkSession, sf: str) -> DataFrame:
 def _subjects(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     labels = table(spark, sf, "review_label").select("line_id", "subjects")
-    repair = small_repair(labelled_sample(docs))
+    repair = full_repair(docs)
     of_docs = subjects_of(docs.select("line_id", "text").where("line_id is not null"), labels, least_sentences=2, repair=repair)
     return of_docs.unionByName(subjects_of(_openings(spark, sf), labels, least_sentences=1))
 
@@ -63,7 +63,7 @@ def _toxicity(spark: SparkSession, sf: str, least: float = 0.0) -> DataFrame:
     of_docs = docs.select(F.col("line_id").alias("record_id"), F.lit(0).cast("long").alias("item_no"), F.concat(F.lit("source:"), named_source(F.col("source"))).alias("origin"), "text")
     items = requests.select("request_id", "caller", F.posexplode("text_list").alias("at", "text"))
     of_items = items.select(F.col("request_id").cast("string").alias("record_id"), (F.col("at") + 1).cast("long").alias("item_no"), F.concat(F.lit("caller:"), named_source(F.col("caller"))).alias("origin"), "text")
-    return score_texts(of_docs.unionByName(of_items), _tagger(spark, sf), small_repair(labelled_sample(docs)), least).drop("text")
+    return score_texts(of_docs.unionByName(of_items), _tagger(spark, sf), full_repair(docs), least).drop("text")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,7 +82,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     messages = table(spark, sf, "text_line_sft").select("dataset_id", "content").unionByName(table(spark, sf, "text_line_dpo").select("dataset_id", "content"))
     some = labelled_sample(docs)
-    cases, _ = wrong_labels(docs, table(spark, sf, "text_line"), table(spark, sf, "text_meta"), messages, train_language_model(some), small_repair(some))
+    cases, _ = wrong_labels(docs, table(spark, sf, "text_line"), table(spark, sf, "text_meta"), messages, train_language_model(some), full_repair(docs))
     return cases
 
 
@@ -90,7 +90,7 @@ def p4_passages(spark: SparkSession, sf: str) -> DataFrame:
     """Every passage of every document with its language and confidence."""
     docs = table(spark, sf, "documents")
     some = labelled_sample(docs)
-    found = languages_of_documents(docs, train_language_model(some), small_repair(some))
+    found = languages_of_documents(docs, train_language_model(some), full_repair(docs))
     return found.select("line_id", F.col("lang").alias("main_lang"), F.col("confidence").alias("main_confidence"), F.explode_outer("passages").alias("p")).select("line_id", "main_lang", "main_confidence", "p.lang", "p.start", "p.end", "p.confidence")
 
 

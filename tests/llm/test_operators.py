@@ -253,6 +253,15 @@ def test_encoding_round_trip(chars, chain):
     assert chars.restore(f"Plain first.\n{garbled}")[0] == f"Plain first.\n{text}"
 
 
+@pytest.mark.parametrize("chain", [("utf-8", "cp850"), ("utf-8", "koi8-r"), ("utf-8", "mac_cyrillic"), ("utf-8", "iso8859-5"), ("cp1251", "cp866")])
+def test_repair_restores_what_9_restores(spark, chars, chain, monkeypatch):
+    monkeypatch.setattr(encoding, "train_char_model", lambda documents: chars)
+    text = {"cp1251": "Совет опубликовал отчёт о состоянии дороги и больницы в четверг утром."}.get(chain[0], "Die Brücke über den Fluss wurde für Fußgänger geöffnet, später auch für größere Züge.")
+    bad = text.encode(chain[0]).decode(chain[1], "replace")
+    got, used, _ = chars.restore(bad)
+    assert used and encoding.full_repair(None)(bad) == got == text
+
+
 def test_encoding_leaves_sound_text(spark, chars):
     sound = ["A sign in SÃO VELMÃO showed the letters Â, Ø and Ñ.", "The probe read −35 °C ± 0.5 µm, cost 12 €.", "Letzte Änderung: 1999.", "这是干净的文字。", "", "plain ascii"]
     assert [chars.restore(t)[1] for t in sound] == [[]] * len(sound)
