@@ -64,8 +64,9 @@ def thresholds(sizes: DataFrame, plan: DataFrame) -> DataFrame:
         inside = sizes.join(F.broadcast(left.where("part > 0").select("mix_name", "source", "low")), "source").where((F.col("h") >= F.col("low")) & (F.col("h") < F.col("low") + span))
         hist = inside.groupBy("mix_name", "source", F.floor((F.col("h") - F.col("low")) / width).alias("bucket")).agg(F.sum("n_tokens").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("mix_name", "source").orderBy("bucket"))
-        fits = hist.withColumn("upto", upto).join(F.broadcast(left.select("mix_name", "source", "part")), ["mix_name", "source"]).where("upto <= part")
-        best = fits.groupBy("mix_name", "source").agg(F.max("upto").alias("used"), (F.max("bucket") + 1).alias("buckets"))
+        sums = hist.withColumn("upto", upto).join(F.broadcast(left.select("mix_name", "source", "part")), ["mix_name", "source"])
+        over = F.min(F.when(F.col("upto") > F.col("part"), F.col("bucket")))  # empty buckets may lie before it
+        best = sums.groupBy("mix_name", "source").agg(F.max(F.when(F.col("upto") <= F.col("part"), F.col("upto"))).alias("used"), F.coalesce(over, F.max("bucket") + 1).alias("buckets"))
         left = stage(left.join(best, ["mix_name", "source"], "left").select(*plan.columns[:-1], (F.col("part") - F.coalesce("used", F.lit(0))).alias("part"), (F.col("low") + F.coalesce("buckets", F.lit(0)) * width).cast("long").alias("low")), "thresholds")
     return left.withColumnRenamed("low", "threshold")
 

@@ -240,6 +240,14 @@ def test_mix(spark):
     assert mixing.mix(docs.limit(0), t)[0].count() == 0 and mixing.mix(docs, t.limit(0))[1].count() == 0
 
 
+def test_mix_refines_the_boundary_bucket(spark):
+    low = 1 << 40  # one bucket of the first level
+    sizes = spark.createDataFrame([("a", 10, 5), ("a", 10, 7 * low + 3), ("a", 10, 7 * low + 900), ("a", 10, 9 * low)], "source string, n_tokens long, h long")
+    plan = spark.createDataFrame([("m", "a", 25.0)], "mix_name string, source string, part double")
+    cut = mixing.thresholds(sizes, plan).collect()[0].threshold
+    assert sizes.where(f"h < {cut}").count() == 2
+
+
 # 9
 
 
