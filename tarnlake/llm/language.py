@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.textunits import WORD, WordRows, sentences, sums
+from tarnlake.llm.textunits import WORD, WordRows, portions, sentences, sums
 
 LANGS = ("en", "zh", "de", "fr", "es", "ru")
 #: Names and codes by which providers call the six languages, without case and region.
@@ -207,19 +207,6 @@ def judge(model: LanguageModel, texts: list[str]) -> list[tuple | None]:
     return out
 
 
-def portions(texts: list[str], most: int = 200_000):
-    """``texts`` in lists of some ``most`` characters, so that the matrices over their words stay small."""
-    part, n = [], 0
-    for t in texts:
-        part.append(t)
-        n += len(t) + 20
-        if n >= most:
-            yield part
-            part, n = [], 0
-    if part:
-        yield part
-
-
 def label_udf(model: LanguageModel):
     """Column function: (lang, confidence) of a text as a whole; null for null and for texts without words."""
 
@@ -243,7 +230,12 @@ def passages_udf(model: LanguageModel, least_sentences: int = 2, repair=None):
         ts = texts.fillna("").tolist()
         got = []
         for part in portions(ts):
-            got += judge(model, [repair(t) for t in part] if repair else part)
+            if not repair:
+                got += judge(model, part)
+                continue
+            restored = repair(part)
+            for g, r in zip(judge(model, [r.text for r in restored]), restored):
+                got.append((g[0], g[1], [(x[0], r.place(x[1]), r.place(x[2]), *x[3:]) for x in g[2]]) if g and r.edits else g)
         rows = [(None, None, []) if g is None else (g[0], g[1], [{"lang": x[0], "start": x[1], "end": x[2], "confidence": x[3]} for x in g[2] if x[4] >= least_sentences]) for g in got]
         return pd.DataFrame(rows, columns=["lang", "confidence", "passages"])
 
@@ -253,7 +245,7 @@ def passages_udf(model: LanguageModel, least_sentences: int = 2, repair=None):
 def languages_of_documents(documents: DataFrame, model: LanguageModel, repair=None) -> DataFrame:
     """``documents`` (line_id, dataset_id, text) -> line_id, dataset_id, lang, confidence, passages.
 
-    Documents without line_id or text are left out. Places of passages are those in the repaired text, where one was repaired.
+    Documents without line_id or text are left out. Places of passages are those in the stored text, repaired or not.
     """
     text = documents.where(F.col("line_id").isNotNull() & F.col("text").rlike(r"\S"))
     return text.select("line_id", "dataset_id", passages_udf(model, repair=repair)("text").alias("r")).select("line_id", "dataset_id", "r.*")

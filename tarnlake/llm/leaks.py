@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.llm.textunits import portions
+
 SHINGLE, WINDOW, STRIDE, RADIUS = 9, 96, 8, 11
 _ALNUM = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x100000001B3)
@@ -187,8 +189,6 @@ def item_index(items: DataFrame, most: int = 50_000, threshold: float = 0.42) ->
 
 def leaks_udf(index: ItemIndex):
     """Column function: array of (item_id, share) that a text holds; empty for null."""
-    from tarnlake.llm.language import portions
-
     @F.pandas_udf("array<struct<item_id:long,share:double>>")
     def run(texts: pd.Series) -> pd.Series:
         out = []

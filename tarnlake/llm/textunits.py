@@ -19,6 +19,19 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in SENTENCE.finditer(text) if not m.group().isspace()]
 
 
+def portions(texts: list[str], most: int = 200_000):
+    """``texts`` in lists of some ``most`` characters, so that the matrices over their words stay small."""
+    part, n = [], 0
+    for t in texts:
+        part.append(t)
+        n += len(t) + 20
+        if n >= most:
+            yield part
+            part, n = [], 0
+    if part:
+        yield part
+
+
 class WordRows:
     """Grows a matrix with one row per distinct word, computed once; forgets all when ``most`` is reached."""
 

@@ -86,35 +86,61 @@ def test_toxicity(spark, tagger):
     assert toxicity.score_texts(df.limit(0), tagger).count() == 0
 
 
-def test_bound_spares_nothing(tagger):
-    """Sentences the bound gives up have no marginal over 0.2."""
+def test_bound_holds(tagger):
+    """No sentence's marginal exceeds what the bound proves."""
     import numpy as np
 
-    toks = [toxicity.tokens(t) for t in ("The weather did not help", "you may close this window now", "Alle waren da", "x", "kill the process")]
+    toks = [toxicity.tokens(t) for t in ("The weather did not help", "you may close this window now", "Alle waren da", "x", "kill the process", "you idiot", "idiot")]
     for t in toks:
         e, sent, _ = tagger.evidence(t, np.zeros(len(t), int))
-        if tagger.hopeless(np.array([e.max()], np.float64), np.array([len(e)]))[0]:
-            assert tagger.marginals(e, np.array([len(e)]))[0].max() <= 0.2
+        assert tagger.marginals(e, np.array([len(e)])).max() <= tagger.bound(np.array([e.max()], np.float64), np.array([len(e)]))[0] + 1e-9
 
 
-# 4
+def test_forward_backward_against_enumeration():
+    import itertools
 
+    import numpy as np
 
-def test_low_scores_are_marginals(spark, tagger):
+    rng = np.random.default_rng(1)
+    trans, counts = rng.normal(size=(2, 2)), np.array([3, 0, 1, 5])
+    x = rng.normal(size=counts.sum()) * 3
+    p, moves = toxicity.forward_backward(x, counts, trans)
+    want_p, want_moves, at = [], np.zeros((2, 2)), 0
+    for n in counts:
+        total, on, mv = 0.0, np.zeros(n), np.zeros((2, 2))
+        for y in itertools.product((0, 1), repeat=int(n)):
+            w = np.exp(sum(a * b for a, b in zip(y, x[at : at + n])) + sum(trans[a, b] for a, b in zip(y, y[1:])))
+            total += w
+            on += w * np.array(y, float)
+            for a, b in zip(y, y[1:]):
+                mv[a, b] += w
+        want_p += (on / total).tolist()
+        want_moves += mv / total if n else 0
+        at += n
+    assert np.allclose(p, want_p) and np.allclose(moves, want_moves)
+    far = toxicity.forward_backward(np.array([-500.0, 500.0] * 400), np.array([800]), trans)[0]
+    assert np.isfinite(far).all()
+
+
+def test_scores_are_marginals(spark, tagger):
     import numpy as np
 
-    texts = ["The weather did not help.", "Alle waren da. The ferry was late again! Nobody minded.", "you may close this window now"]
+    texts = ["The weather did not help.", "Alle waren da. The ferry was late again! Nobody minded.", "you may close this window now", "Idiot!"]
     want = []
     for t in texts:
         toks = toxicity.tokens(t)
         e, sent, _ = tagger.evidence(toks, np.zeros(len(toks), int))
-        each = tagger.marginals(e, np.unique(sent, return_counts=True)[1])
-        want.append(max(np.sort(m)[-2:].mean() if len(m) > 1 else 0.5 * m.max() for m in each))
-    assert min(want) > 0 and np.allclose(tagger.scores(texts), want)
+        counts = np.unique(sent, return_counts=True)[1]
+        each = np.split(tagger.marginals(e, counts), np.cumsum(counts)[:-1])
+        want.append(max(np.sort(m)[-2:].mean() for m in each))
+    assert min(want) > 0 and np.allclose(tagger.scores(texts), want) and want[-1] > 0.5
     got = toxicity.score_texts(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), tagger).orderBy("i").collect()
     assert np.allclose([r.score for r in got], want)
 
 
+# 4
+
+
 def test_languages(spark, languages):
     said, conf = languages.label(["The notes say nothing about the reason", "这是因为以前没有人问过他们", "Das Wetter half wenig und der Plan blieb", "La météo n'a pas aidé du tout", "El tiempo no ayudó mucho", "Погода совсем не помогла", "", "123"])
     assert said == ["en", "zh", "de", "fr", "es", "ru", None, None]
@@ -258,7 +284,7 @@ def test_encoding_round_trip(chars, chain):
     garbled = text.encode(written).decode(read, "replace")
     if encoding.LOST in garbled:
         pytest.skip("this chain loses characters here")
-    assert chars.restore(f"Plain first.\n{garbled}")[0] == f"Plain first.\n{text}"
+    assert chars.restore([f"Plain first.\n{garbled}"])[0].text == f"Plain first.\n{text}"
 
 
 @pytest.mark.parametrize("chain", [("utf-8", "cp850"), ("utf-8", "koi8-r"), ("utf-8", "mac_cyrillic"), ("utf-8", "iso8859-5"), ("cp1251", "cp866")])
@@ -266,13 +292,32 @@ def test_repair_restores_what_9_restores(spark, chars, chain, monkeypatch):
     monkeypatch.setattr(encoding, "train_char_model", lambda documents: chars)
     text = {"cp1251": "Совет опубликовал отчёт о состоянии дороги и больницы в четверг утром."}.get(chain[0], "Die Brücke über den Fluss wurde für Fußgänger geöffnet, später auch für größere Züge.")
     bad = text.encode(chain[0]).decode(chain[1], "replace")
-    got, used, _ = chars.restore(bad)
-    assert used and encoding.full_repair(None)(bad) == got == text
+    got = chars.restore([bad])[0]
+    assert got.chains and encoding.full_repair(None)([bad])[0] == got and got.text == text
+
+
+def test_places_of_restored_text(chars):
+    stored = "Erster Satz. FÃ¼r PrÃ¼fungsbÃ¶gen wurden schÃ¶ne Beispiele gesammelt. Letzter Satz."
+    r = chars.restore([stored])[0]
+    for word in ("Erster", "wurden", "Beispiele", "Letzter"):
+        assert r.place(r.text.index(word)) == stored.index(word)
+    assert r.place(0) == 0 and r.place(len(r.text)) == len(stored)
+
+
+def test_batches_judge_as_single_texts_do(spark, chars):
+    texts = [r.text for r in table(spark, SF, "documents").where("text is not null").select("text").limit(200).collect()]
+    assert chars.restore(texts) == [chars.restore([t])[0] for t in texts]
+    assert encoding.Laid(texts).clean().tolist() == [bool(encoding.Laid([t]).clean()[0]) for t in texts]
+
+
+def test_clean_sees_late_runs():
+    bad = "这份记录没有说明原因所以还要等待".encode().decode("gb18030", "ignore")
+    assert not encoding.Laid([f"这是因为以前没有人问过他们，所以没有人知道。{bad}"]).clean()[0] and encoding.Laid(["这是因为以前没有人问过他们"]).clean()[0]
 
 
 def test_encoding_leaves_sound_text(spark, chars):
     sound = ["A sign in SÃO VELMÃO showed the letters Â, Ø and Ñ.", "The probe read −35 °C ± 0.5 µm, cost 12 €.", "Letzte Änderung: 1999.", "这是干净的文字。", "", "plain ascii"]
-    assert [chars.restore(t)[1] for t in sound] == [[]] * len(sound)
+    assert [r.chains for r in chars.restore(sound)] == [[]] * len(sound)
     df = spark.createDataFrame([(1, None), (2, ""), (3, "FÃ¼r PrÃ¼fungsbÃ¶gen wurden Ã¼ber 20 schÃ¶ne Beispiele gesammelt."), (4, "caf� na�ve")], "doc_id long, text string")
     assert {r.doc_id for r in encoding.restore_garbled(df, chars).collect()} == {3, 4}
     assert encoding.restore_garbled(df.limit(0), chars).count() == 0
