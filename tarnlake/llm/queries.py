@@ -56,19 +56,19 @@ def _tagger(spark: SparkSession, sf: str):
     return train_tagger(judged_harmless(table(spark, sf, "documents"), table(spark, sf, "review_label")))
 
 
-def _toxicity(spark: SparkSession, sf: str, least: float = 0.0) -> DataFrame:
-    """(record_id, item_no, origin, score) of every document and every element of a text list; scores up to ``least`` may be 0."""
+def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """(record_id, item_no, origin, score) of every document and every element of a text list."""
     docs = table(spark, sf, "documents").where("line_id is not null")
     requests = table(spark, sf, "import_text_item").where("request_id is not null")
     of_docs = docs.select(F.col("line_id").alias("record_id"), F.lit(0).cast("long").alias("item_no"), F.concat(F.lit("source:"), named_source(F.col("source"))).alias("origin"), "text")
     items = requests.select("request_id", "caller", F.posexplode("text_list").alias("at", "text"))
     of_items = items.select(F.col("request_id").cast("string").alias("record_id"), (F.col("at") + 1).cast("long").alias("item_no"), F.concat(F.lit("caller:"), named_source(F.col("caller"))).alias("origin"), "text")
-    return score_texts(of_docs.unionByName(of_items), _tagger(spark, sf), full_repair(docs), least).drop("text")
+    return score_texts(of_docs.unionByName(of_items), _tagger(spark, sf), full_repair(docs)).drop("text")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """Texts that abuse, threaten, degrade a group or depict sex themselves."""
-    return _toxicity(spark, sf, 0.2).where("score > 0.5").select("record_id", "item_no").distinct()
+    return _toxicity(spark, sf).where("score > 0.5").select("record_id", "item_no").distinct()
 
 
 def p2_rates(spark: SparkSession, sf: str) -> DataFrame:
