@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.functions.clean import SPACE
 from tarnlake.functions.fixed import CHAT_KEYS, MESSAGE_KEYS, TAGGED_SPEAKERS
-from tarnlake.operators.hierarchy import clean_id, resolve_trees, tree_nodes
+from tarnlake.operators.hierarchy import Ride, clean_id, resolve_trees, tree_nodes
 from tarnlake.operators.lookup import hot_keys, lookup_join
 from tarnlake.session import stage
 
@@ -59,6 +59,35 @@ def end_flags(turns: DataFrame, conversation: str, turn: str) -> DataFrame:
     return joined.withColumn("end", F.when((F.col(turn) == F.col("_last")) & (F.col(turn) > F.col("_first")), "true").otherwise("false")).drop("_c", "_first", "_last", "_n")
 
 
+#: Moduli and bases of the polynomial hash of a way; each lane takes other digits of the messages' hashes.
+_LANES = ((2_147_483_647, 1_000_003), (2_147_483_629, 998_244_353), (2_147_483_587, 1_220_703), (2_147_483_579, 786_433))
+
+
+def _hash_own() -> Column:
+    return F.array(*[F.struct((F.conv(F.substring("payload", 1 + 7 * k, 7), 16, 10).cast("long") + 1).alias("h"), F.lit(b).cast("long").alias("f"), (F.conv(F.substring("payload", 1 + 7 * k, 7), 16, 10).cast("long") + 1).alias("own")) for k, (_, b) in enumerate(_LANES)])
+
+
+def _hash_join(up: Column, low: Column) -> Column:
+    lanes = []
+    for k, (p, _) in enumerate(_LANES):
+        a, b = up[k], low[k]
+        lanes.append(F.struct(((a["h"] * b["f"] + b["h"]) % p).alias("h"), (a["f"] * b["f"] % p).alias("f"), b["own"].alias("own")))
+    return F.array(*lanes)
+
+
+#: The messages' hashes along a way as one hash of fixed size: sum of hash times base to the power of the distance, for four moduli.
+HASHED = Ride(_hash_own, _hash_join)
+
+
+def _key(ride: str, up: int) -> Column:
+    """The way's hash as a text, or (``up`` 1) that of the way without its last message."""
+    lanes = []
+    for k, (p, b) in enumerate(_LANES):
+        lane = F.col(ride)[k]
+        lanes.append(lane["h"] if not up else (lane["h"] - lane["own"] + p) % p * pow(b, -1, p) % p)
+    return F.concat_ws("-", *[F.hex(x) for x in lanes])
+
+
 def linked_message_tree(messages: DataFrame, score: str | None = None) -> DataFrame:
     """As ``message_tree``, for rows that name the line before them (line_id, frontID, role, content, added_date).
 
@@ -69,10 +98,8 @@ def linked_message_tree(messages: DataFrame, score: str | None = None) -> DataFr
     own = F.sha2(F.to_json(F.struct(F.col("role").alias("r"), F.col("content").alias("c"), *([F.col(score).alias("s")] if score else []))), 256)
     cols = ["role", "content", *([score] if score else [])]
     rows = stage(messages.withColumn("own", own).withColumn("line_id", clean_id(F.col("line_id"))).where("line_id is not null"), "messages")
-    ways = resolve_trees(tree_nodes(rows, "line_id", "frontID", "added_date", "own"), with_paths=True).where("state = 'whole'")
-    chain = lambda a: F.sha2(F.array_join(a, "/"), 256)
-    n = F.size("path")
-    keyed = ways.select("id", chain(F.col("path")).alias("node"), F.when(n > 1, chain(F.slice("path", 1, F.greatest(n - 1, F.lit(0))))).alias("parent"), (n - 1).cast("long").alias("depth"), F.element_at("path", -1).alias("own"))
+    ways = resolve_trees(tree_nodes(rows, "line_id", "frontID", "added_date", "own"), ride=HASHED).where("state = 'whole'")
+    keyed = ways.select("id", _key("ride", 0).alias("node"), F.when(F.col("depth") > 0, _key("ride", 1)).alias("parent"), "depth", F.col("payload").alias("own"))
     # one row a line: that whose message the way holds
     said = rows.groupBy("line_id", "own").agg(F.min(F.struct(*cols)).alias("m")).select(F.col("line_id").alias("id"), "own", "m.*")
     first = F.min_by(F.struct("id", *cols), "id")

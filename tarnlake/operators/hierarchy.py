@@ -10,10 +10,13 @@ into a cycle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.operators.lookup import hot_keys, lookup_join
+from tarnlake.operators.lookup import HOT_LEAST, hot_keys, lookup_join
 from tarnlake.session import Staged, stage
 
 #: Spellings of "no parent", besides null, blank and zeros.
@@ -48,8 +51,21 @@ def tree_nodes(df: DataFrame, node: str, parent: str, order: str | None = None,
     )
 
 
-def resolve_trees(nodes: DataFrame, peel_rounds: int = 3, with_sizes: bool = False, with_paths: bool = False) -> DataFrame:
-    """``(id, root, depth, state, n_children[, subtree][, path])`` for ``nodes (id, parent, payload)``, unique by id.
+@dataclass(frozen=True)
+class Ride:
+    """What rides along every way up: ``own`` of a node, from its columns payload and id, and an associative ``join`` of
+    what the nodes above a place hold with what those below it hold."""
+
+    own: Callable[[], Column]
+    join: Callable[[Column, Column], Column]
+
+
+#: The ids, or payloads, from the root down.
+PATH = Ride(lambda: F.array(F.coalesce("payload", "id")), lambda up, low: F.concat(up, low))
+
+
+def resolve_trees(nodes: DataFrame, peel_rounds: int = 3, with_sizes: bool = False, with_paths: bool = False, ride: Ride | None = None) -> DataFrame:
+    """``(id, root, depth, state, n_children[, subtree][, path | payload, ride])`` for ``nodes (id, parent, payload)``, unique by id.
 
     - state ``whole``: the way up ends at a node without parent; ``lost``: it ends at a node whose parent
       has no row; ``cycle``: the node lies on a loop (a node that is its own parent included);
@@ -57,105 +73,127 @@ def resolve_trees(nodes: DataFrame, peel_rounds: int = 3, with_sizes: bool = Fal
       on the loop; depth: steps to it, or to the first node of the loop (0 on it).
     - subtree: number of descendants, the node itself included; null on and below loops where it isn't defined.
     - path: ``payload`` (or the id, where payload is null) of each node from the root down to this one;
-      on loops only the node itself, below loops from the first node after the loop.
+      on loops only the node itself, below loops from the first node after the loop. ``ride``: the same for any fold.
     - an empty input gives an empty result.
     """
-    nodes = stage(nodes, "nodes")
-    total = nodes.count()
-    kids = stage(nodes.where("parent is not null").groupBy("parent").agg(F.count("*").alias("n")), "kids")
-    hot = hot_keys(kids, "parent", "n", total)
-    # kids are unique by parent, so both existence checks join unique keys; hot parents cost nothing here
-    known = nodes.join(kids.select(F.col("parent").alias("id"), F.col("n").alias("n_children")), "id", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
-    orphaned = kids.select(F.col("parent").alias("gone")).join(nodes.select(F.col("id").alias("gone")), "gone", "left_anti")
-    hot_gone = [r[0] for r in orphaned.where(F.col("gone").isin(hot)).collect()] if hot else []
-    base = lookup_join(known, orphaned.withColumn("lost", F.lit(True)), F.col("parent") == F.col("gone"), "parent", "gone", hot_gone).select(
-        "id", "payload", "n_children", F.when(F.col("lost").isNull(), F.col("parent")).alias("parent"), F.when(F.col("lost"), F.lit("lost")).otherwise(F.lit("whole")).alias("top")
-    )
-    left = Staged(base.withColumn("size", F.lit(1).cast("long")), "peel0")
-    peeled: list[Staged] = []
+    fold = PATH if with_paths else ride
+    more = ["payload", "ride"] if fold else []
+    held = Staged(nodes, "nodes", rows=F.lit(True))
+    nodes, total = held.df, held.counts["rows"]
+    kids = nodes.where("parent is not null").groupBy(F.col("parent").alias("up")).agg(F.count("*").alias("n"))
+    hot: list = []
+    if total > HOT_LEAST:
+        kids = stage(kids, "kids")
+        hot = hot_keys(kids, "up", "n", total)
+    # one join of unique keys tells both who has children and which parents have no row; hot parents cost nothing in it
+    known = stage(nodes.join(kids, F.col("id") == F.col("up"), "full").select("id", "parent", "payload", F.coalesce("n", F.lit(0)).alias("n_children"), "up"), "known")
+    gone = known.where("id is null").select(F.col("up").alias("gone"), F.lit(True).alias("lost"))
+    hot_gone = [r[0] for r in gone.where(F.col("gone").isin(hot)).select("gone").collect()] if hot else []
+    base = lookup_join(known.where("id is not null").drop("up"), gone, F.col("parent") == F.col("gone"), "parent", "gone", hot_gone).select(
+        "id", "payload", "n_children", F.when(F.col("lost").isNull(), F.col("parent")).alias("parent"), F.when(F.col("lost"), F.lit("lost")).otherwise(F.lit("whole")).alias("top"),
+        F.col("n_children").alias("open_children"), F.lit(1).cast("long").alias("size"),
+    )
+    layers = [Staged(base, "peel0")]
     for r in range(peel_rounds):
-        inner = left.df.where("parent is not null").groupBy("parent").count().select(F.col("parent").alias("id"), F.lit(True).alias("inner"))
-        marked = left.df.join(inner, "id", "left")
-        peeled.append(Staged(marked.where("inner is null").drop("inner"), f"leaves{r}"))
-        sent = peeled[-1].df.where("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.sum("size").alias("sent"))
-        rest = marked.where("inner").drop("inner").join(sent, "id", "left").withColumn("size", F.col("size") + F.coalesce("sent", F.lit(0))).drop("sent")
-        new = Staged(rest, f"peel{r + 1}")
-        left.drop()
-        left = new
-    done = _double(left, with_sizes, with_paths, total)
-    for level in reversed(peeled):
-        above = done.select(F.col("id").alias("up"), F.col("root").alias("up_root"), F.col("depth").alias("up_depth"), F.col("state").alias("up_state"), *([F.col("path").alias("up_path")] if with_paths else []))
-        got = lookup_join(level.df.where("parent is not null"), above, F.col("parent") == F.col("up"), "parent", "up", hot)
+        # a layer's leaves leave the graph and send their number and sizes to their parents
+        leaves, inner = layers[-1].df.where("open_children = 0"), layers[-1].df.where("open_children > 0")
+        sent = leaves.where("parent is not null").groupBy(F.col("parent").alias("up")).agg(F.count("*").alias("n_sent"), F.sum("size").alias("sent"))
+        rest = inner.join(sent, F.col("id") == F.col("up"), "left").withColumn("open_children", F.col("open_children") - F.coalesce("n_sent", F.lit(0))).withColumn("size", F.col("size") + F.coalesce("sent", F.lit(0)))
+        layers.append(Staged(rest.drop("up", "n_sent", "sent"), f"peel{r + 1}"))
+    done = _double(layers[-1].df, with_sizes, fold)
+    for r, layer in enumerate(reversed(layers[:-1])):
+        leaves = layer.df.where("open_children = 0")
+        above = done.select(F.col("id").alias("up"), F.col("root").alias("up_root"), F.col("depth").alias("up_depth"), F.col("state").alias("up_state"), *([F.col("ride").alias("up_ride")] if fold else []))
+        got = lookup_join(leaves.where("parent is not null"), above, F.col("parent") == F.col("up"), "parent", "up", hot)
         on_loop = F.col("up_state").isin("cycle", "below_cycle")
-        me = F.array(F.coalesce("payload", "id"))
         got = got.select(
             "id", F.col("up_root").alias("root"), (F.col("up_depth") + 1).alias("depth"), F.when(on_loop, F.lit("below_cycle")).otherwise(F.col("up_state")).alias("state"), "n_children", F.when(~on_loop, F.col("size")).alias("subtree"),
-            *([F.when(F.col("up_state") == "cycle", me).otherwise(F.concat("up_path", me)).alias("path")] if with_paths else []),
+            *(["payload", F.when(F.col("up_state") == "cycle", fold.own()).otherwise(fold.join(F.col("up_ride"), fold.own())).alias("ride")] if fold else []),
         )
-        tops = level.df.where("parent is null").select("id", F.col("id").alias("root"), F.lit(0).cast("long").alias("depth"), F.col("top").alias("state"), "n_children", F.col("size").alias("subtree"), *([me.alias("path")] if with_paths else []))
-        done = stage(done.unionByName(got).unionByName(tops), "resolved")
-    return done if with_sizes else done.drop("subtree")
+        tops = leaves.where("parent is null").select("id", F.col("id").alias("root"), F.lit(0).cast("long").alias("depth"), F.col("top").alias("state"), "n_children", F.col("size").alias("subtree"), *(["payload", fold.own().alias("ride")] if fold else []))
+        new = got.unionByName(tops)
+        # the last leaves, the bulk of most trees, are nobody's parents: they needn't be written
+        done = done.unionByName(stage(new, f"resolved{r}") if r + 1 < len(layers) - 1 else new)
+    done = done.select("id", "root", "depth", "state", "n_children", *(["subtree"] if with_sizes else []), *more)
+    return done.drop("payload").withColumnRenamed("ride", "path") if with_paths else done
 
 
-def _double(left: Staged, with_sizes: bool, with_paths: bool, total: int) -> DataFrame:
-    """The rest after peeling, by pointer doubling: in round k each open node knows its ancestor 2**k steps up.
+def _double(core: DataFrame, with_sizes: bool, fold: Ride | None) -> DataFrame:
+    """What peeling left, by pointer doubling: in round k each open node knows its ancestor 2**k steps up.
 
     ``size`` holds the descendants nearer than 2**k steps and those peeled below them, so adding the sizes
     of the open nodes 2**k steps below doubles the reach. A round in which no node reaches the top proves
     that all open nodes lead into loops, since a longer way up has nodes of every smaller depth on it.
     """
-    me = F.array(F.coalesce("payload", "id"))
-    state = Staged(left.df.select("id", "payload", "n_children", "size", F.coalesce("parent", "id").alias("p"), F.when(F.col("parent").isNotNull(), 1).otherwise(0).cast("long").alias("d"), F.col("parent").isNotNull().alias("open"), F.when(F.col("parent").isNull(), F.col("top")).alias("state"), me.alias("path")), "ptr")
-    n_open, k = state.df.where("open").count(), 0
+    more = ["payload", "ride"] if fold else []
+    state = Staged(core.select("id", "n_children", "size", F.coalesce("parent", "id").alias("p"), F.when(F.col("parent").isNotNull(), 1).otherwise(0).cast("long").alias("d"), F.col("parent").isNotNull().alias("open"), F.when(F.col("parent").isNull(), F.col("top")).alias("state"), F.least("id", "parent").alias("low"), *(["payload", fold.own().alias("ride")] if fold else [])), "ptr", open=F.col("open"))
+    n_open, k, stuck = state.counts["open"], 0, None
     while n_open:
         is_open = state.df.where("open")
-        hot = hot_keys(is_open.groupBy("p").agg(F.count("*").alias("n")), "p", "n", total) if n_open > 200_000 else []
-        up = state.df.select(F.col("id").alias("q"), F.col("p").alias("q_p"), F.col("d").alias("q_d"), F.col("open").alias("q_open"), F.col("state").alias("q_state"), *([F.col("path").alias("q_path")] if with_paths else []))
-        moved = lookup_join(is_open, up, F.col("p") == F.col("q"), "p", "q", hot).select(
-            "id", "payload", "n_children", "size", F.col("q_p").alias("p"), (F.col("d") + F.col("q_d")).alias("d"), F.col("q_open").alias("open"), F.col("q_state").alias("state"), (F.concat("q_path", "path") if with_paths else F.col("path")).alias("path")
+        up = state.df.select(F.col("id").alias("q"), F.col("p").alias("q_p"), F.col("d").alias("q_d"), F.col("open").alias("q_open"), F.col("state").alias("q_state"), F.col("low").alias("q_low"), *([F.col("ride").alias("q_ride")] if fold else []))
+        moved = lookup_join(is_open, up, F.col("p") == F.col("q"), "p", "q", _hot(is_open, "p", n_open)).select(
+            "id", "n_children", "size", F.col("q_p").alias("p"), (F.col("d") + F.col("q_d")).alias("d"), F.col("q_open").alias("open"), F.col("q_state").alias("state"), F.least("low", "q_low").alias("low"), *(["payload", fold.join(F.col("q_ride"), F.col("ride")).alias("ride")] if fold else [])
         )
         new = state.df.where("not open").unionByName(moved)
         if with_sizes:
-            sent = is_open.groupBy(F.col("p").alias("id")).agg(F.sum("size").alias("sent"))
-            new = new.join(sent, "id", "left").withColumn("size", F.col("size") + F.coalesce("sent", F.lit(0))).drop("sent")
-        fresh = Staged(new, f"ptr{k}")
-        left_open = fresh.df.where("open").count()
-        if left_open == n_open:  # loops only: this round's sizes and paths went round them
-            fresh.drop()
+            sent = is_open.groupBy(F.col("p").alias("q")).agg(F.sum("size").alias("sent"))
+            new = new.join(sent, F.col("id") == F.col("q"), "left").withColumn("size", F.col("size") + F.coalesce("sent", F.lit(0))).drop("q", "sent")
+        fresh = Staged(new, f"ptr{k}", open=F.col("open"))
+        left_open = fresh.counts["open"]
+        if left_open == n_open:  # loops only: this round's sizes and rides went round them, its pointers serve
+            stuck = fresh.df.where("open").select("id", "p", "low")
             break
         state.drop()
         state, n_open, k = fresh, left_open, k + 1
-    shape = lambda df: df.select("id", F.col("p").alias("root"), F.col("d").alias("depth"), "state", "n_children", F.col("size").alias("subtree"), *(["path"] if with_paths else []))
-    closed = shape(state.df.where("not open"))
+    closed = state.df.where("not open").select("id", F.col("p").alias("root"), F.col("d").alias("depth"), "state", "n_children", F.col("size").alias("subtree"), *more)
     if not n_open:
         return closed
-    return closed.unionByName(_loops(state.df.where("open").select("id", "payload", "n_children"), left.df, n_open, with_paths))
-
-
-def _loops(stuck: DataFrame, edges: DataFrame, n: int, with_paths: bool) -> DataFrame:
-    """Nodes on or below loops. Steps of 2**k >= n end on a loop from anywhere and reach all of it."""
-    stuck = stage(stuck.join(edges.select("id", "parent"), "id"), "stuck")
-    jump = Staged(stuck.select("id", F.col("parent").alias("p"), F.least("id", "parent").alias("low")), "jump")
-    reach = 1
-    while reach < n:
-        to = jump.df.select(F.col("id").alias("q"), F.col("p").alias("q_p"), F.col("low").alias("q_low"))
-        new = Staged(jump.df.join(to, F.col("p") == F.col("q")).select("id", F.col("q_p").alias("p"), F.least("low", "q_low").alias("low")), "jump")
-        jump.drop()
-        jump, reach = new, reach * 2
-    ring = stage(jump.df.groupBy(F.col("p").alias("id")).count().select("id").join(jump.df.select("id", "low"), "id"), "ring")
-    me = F.array(F.coalesce("payload", "id"))
-    tail = [F.lit(None).cast("long").alias("subtree")] + ([me.alias("path")] if with_paths else [])
-    on = stuck.join(ring, "id").select("id", F.col("low").alias("root"), F.lit(0).cast("long").alias("depth"), F.lit("cycle").alias("state"), "n_children", *tail)
+    return closed.unionByName(_loops(core, stuck, n_open, fold))
+
+
+def _hot(df: DataFrame, key: str, n: int) -> list:
+    """Hot keys of ``df``, of ``n`` rows; where there are fewer than a hot key must have, none needs to be looked for."""
+    return hot_keys(df.groupBy(key).agg(F.count("*").alias("_n")), key, "_n", n) if n > HOT_LEAST else []
+
+
+def _loops(core: DataFrame, far: DataFrame, n: int, fold: Ride | None) -> DataFrame:
+    """The ``n`` nodes of ``far``, all on loops or below them: each with the node p some 2**k steps up and the smallest id
+    on the way there, both included.
+
+    The nodes that others reach by 2**k steps get fewer with k until only those on loops are left; as soon as twice the
+    steps reach as many, no step reaches fewer. A loop's smallest id is found when neighbours agree on it.
+    """
+    stuck = stage(core.join(far.select(F.col("id").alias("stuck"), "p", "low"), F.col("id") == F.col("stuck")).select("id", "parent", "n_children", "payload", "p", "low"), "stuck")
+    jump, reached = stuck.select("id", "p", "low"), -1
+    while (now := jump.select("p").distinct().count()) != reached:
+        to = jump.select(F.col("id").alias("q"), F.col("p").alias("q_p"), F.col("low").alias("q_low"))
+        jump = stage(lookup_join(jump, to, F.col("p") == F.col("q"), "p", "q", _hot(jump, "p", n), "inner").select("id", F.col("q_p").alias("p"), F.least("low", "q_low").alias("low")), "jump")
+        reached = now
+    names = jump.select(F.col("p").alias("on")).distinct()
+    ring = stage(jump.join(names, F.col("id") == F.col("on"), "left_semi").join(stuck.select(F.col("id").alias("me"), "parent"), F.col("id") == F.col("me")).select("id", "parent", "p", "low"), "ring")
+    while True:  # every node on a loop has one before it: no hot keys
+        beside = ring.select(F.col("id").alias("q"), F.col("low").alias("q_low"))
+        if ring.join(beside, F.col("parent") == F.col("q")).where("low <> q_low").isEmpty():
+            break
+        to = ring.select(F.col("id").alias("q"), F.col("p").alias("q_p"), F.col("low").alias("q_low"))
+        ring = stage(ring.join(to, F.col("p") == F.col("q")).select("id", "parent", F.col("q_p").alias("p"), F.least("low", "q_low").alias("low")), "ring")
+    stuck = stuck.drop("p", "low")
+    tail = lambda: [F.lit(None).cast("long").alias("subtree"), *(["payload"] if fold else [])]
+    lows = ring.select(F.col("id").alias("on"), "low")
+    on = stuck.join(lows, F.col("id") == F.col("on")).select("id", F.col("low").alias("root"), F.lit(0).cast("long").alias("depth"), F.lit("cycle").alias("state"), "n_children", *tail(), *([fold.own().alias("ride")] if fold else []))
     # below: the ring cut open is a forest whose tops are the ring's nodes
-    below = stuck.join(ring, "id", "left_anti")
-    walk = Staged(below.select("id", "payload", "n_children", F.col("parent").alias("p"), F.lit(1).cast("long").alias("d"), me.alias("path")).join(ring.select(F.col("id").alias("p"), "low"), "p", "left"), "walk")
-    while walk.df.where("low is null").limit(1).count():
-        to = walk.df.select(F.col("id").alias("q"), F.col("p").alias("q_p"), F.col("d").alias("q_d"), F.col("low").alias("q_low"), F.col("path").alias("q_path"))
-        moved = walk.df.where("low is null").join(to, F.col("p") == F.col("q")).select("id", "payload", "n_children", F.col("q_p").alias("p"), (F.col("d") + F.col("q_d")).alias("d"), (F.concat("q_path", "path") if with_paths else F.col("path")).alias("path"), F.col("q_low").alias("low"))
-        new = Staged(walk.df.where("low is not null").unionByName(moved), "walk")
+    below = stuck.join(lows, F.col("id") == F.col("on"), "left_anti").withColumn("d", F.lit(1).cast("long"))
+    hot = _hot(below, "parent", n)
+    shut = F.col("low").isNull()
+    walk = Staged(lookup_join(below, lows, F.col("parent") == F.col("on"), "parent", "on", hot).select("id", "payload", "n_children", F.col("parent").alias("p"), "d", "low", *([fold.own().alias("ride")] if fold else [])), "walk", open=shut)
+    while walk.counts["open"]:
+        open_ = walk.df.where(shut)
+        to = walk.df.select(F.col("id").alias("q"), F.col("p").alias("q_p"), F.col("d").alias("q_d"), F.col("low").alias("q_low"), *([F.col("ride").alias("q_ride")] if fold else []))
+        moved = lookup_join(open_, to, F.col("p") == F.col("q"), "p", "q", _hot(open_, "p", n), "inner").select("id", "payload", "n_children", F.col("q_p").alias("p"), (F.col("d") + F.col("q_d")).alias("d"), F.col("q_low").alias("low"), *([fold.join(F.col("q_ride"), F.col("ride")).alias("ride")] if fold else []))
+        new = Staged(walk.df.where(~shut).unionByName(moved), "walk", open=shut)
         walk.drop()
         walk = new
-    off = walk.df.select("id", F.col("low").alias("root"), F.col("d").alias("depth"), F.lit("below_cycle").alias("state"), "n_children", F.lit(None).cast("long").alias("subtree"), *(["path"] if with_paths else []))
+    off = walk.df.select("id", F.col("low").alias("root"), F.col("d").alias("depth"), F.lit("below_cycle").alias("state"), "n_children", *tail(), *(["ride"] if fold else []))
     return on.unionByName(off)
 
 

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows that a key must have, whatever its share, to be hot.
+HOT_LEAST = 50_000
 
-def hot_keys(counts: DataFrame, key: str, n: str, total: int, share: int = 64, least: int = 50_000) -> list:
+
+def hot_keys(counts: DataFrame, key: str, n: str, total: int, share: int = 64, least: int | None = None) -> list:
     """Keys of ``counts`` (one row per key, ``n`` rows each) that hold over ``total / share`` rows.
 
     At most ``share`` keys can, so the list that reaches the driver is bounded whatever the data.
     """
-    floor = max(least, total // share)
+    floor = max(HOT_LEAST if least is None else least, total // share)
     return [r[0] for r in counts.where(F.col(n) > floor).select(key).collect()]
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: list[str] = []
 
@@ -62,11 +64,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests, one machine) a temporary folder is made and used.
+    Only on one machine (tests) may that be unset: a temporary folder is made and used. On a cluster executors couldn't
+    read each other's, so an unset folder raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
     if not _OWN or not os.path.isdir(_OWN[0]):
         _OWN[:] = [tempfile.mkdtemp(prefix="tarnlake-")]
         atexit.register(shutil.rmtree, _OWN[0], True)
@@ -75,12 +81,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 class Staged:
     """A DataFrame written once to the shared folder and read back: lineage is cut, and the copy
-    survives the loss of executors. ``drop()`` removes it once nothing reads it any more."""
+    survives the loss of executors. ``drop()`` removes it once nothing reads it any more. ``counts`` holds how many
+    rows each of the given conditions is true for, counted while writing."""
 
-    def __init__(self, df: DataFrame, name: str = "stage"):
+    def __init__(self, df: DataFrame, name: str = "stage", **conditions: Column):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/tarnlake-{name}-{uuid.uuid4().hex[:12]}"
-        df.write.parquet(self.path)
+        seen = Observation() if conditions else None
+        (df.observe(seen, *[F.count_if(c).alias(k) for k, c in conditions.items()]) if seen else df).write.parquet(self.path)
+        self.counts: dict[str, int] = seen.get if seen else {}
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
         atexit.register(self._quietly)
 

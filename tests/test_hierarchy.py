@@ -65,6 +65,30 @@ def test_no_parent_spellings(spark):
     assert [r[0] for r in df.select(clean_parent(F.col("p"))).collect()] == [None] * 8 + ["00a0"]
 
 
+def test_hot_keys_and_loops_take_the_plan_of_large_data(spark, monkeypatch):
+    """Half of all rows under one parent, and many below one loop: with a low bound the hot ones travel, results stay."""
+    from tarnlake.operators import hierarchy, lookup
+
+    monkeypatch.setattr(lookup, "HOT_LEAST", 3)
+    monkeypatch.setattr(hierarchy, "HOT_LEAST", 3)
+    star = {"s": None} | {f"s{i}": "s" for i in range(60)} | {f"d{i}": f"s{i}" for i in range(5)}
+    loop = {"a": "b", "b": "a"} | {f"u{i}": "a" for i in range(30)} | {f"v{i}": f"u{i}" for i in range(4)} | {f"w{i:02d}": f"w{i - 1:02d}" if i else "v0" for i in range(9)}
+    check(spark, star | loop | {f"o{i}": "gone" for i in range(20)}, 1)
+    check(spark, {f"r{i}": f"r{(i + 1) % 7}" for i in range(7)}, 0)
+
+
+def test_rides_fold_any_way(spark):
+    """The hash of a way doesn't depend on how the way was put together."""
+    from tarnlake.operators.chat import HASHED, _key
+
+    rows = [("a", None, "1"), ("b", "a", "2"), ("c", "b", "3"), ("x", None, "1"), ("y", "x", "2"), ("z", "y", "3"), ("z2", "z", "4"), ("q", None, "2")]
+    df = spark.createDataFrame(rows, "id string, parent string, p string").select("id", "parent", F.sha2("p", 256).alias("payload"))
+    for rounds in (0, 1, 3):
+        got = {r.id: (r.k, r.up) for r in resolve_trees(df, rounds, ride=HASHED).select("id", _key("ride", 0).alias("k"), _key("ride", 1).alias("up")).collect()}
+        assert got["c"] == got["z"] and got["b"] == got["y"] and got["a"] == got["x"] and got["c"][1] == got["b"][0]
+        assert len({v[0] for v in got.values()}) == 5
+
+
 def test_descendants(spark):
     df = spark.createDataFrame([("a", None, None), ("b", "a", None), ("c", "b", None)], NODES)
     got = {tuple(r) for r in descendants(resolve_trees(df, with_paths=True)).collect()}
