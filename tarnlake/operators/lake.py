@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.functions.text import line_id
+from tarnlake.operators.packing import running_sum
 
 
 def register(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -26,16 +27,11 @@ def register(existing: DataFrame, new: DataFrame) -> DataFrame:
 def number_lines(df: DataFrame, dataset: Column, order: list[str], per_file: int = 65_536) -> DataFrame:
     """``df`` with line_id: lines are numbered by dataset in ``order`` and cut into files of ``per_file``.
 
-    A dataset's rows are numbered by range blocks, so none gathers in one task.
+    A dataset's rows are numbered by range blocks, so none gathers in one task. Pass narrow rows and join texts back.
     """
-    from tarnlake.operators.packing import running_sum
-
     d = df.withColumn("_ds", dataset.cast("long")).withColumn("_one", F.lit(1))
-    # dataset first in the order: ranks within a dataset are global ranks less those before it
-    g = running_sum(d, [], ["_ds", *order], "_one", "_rank")
-    first = d.groupBy("_ds").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_ds").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    at = F.col("_rank") - F.col("_before") - 1
-    return g.join(F.broadcast(first), "_ds").withColumn("line_id", line_id(F.col("_ds"), F.floor(at / per_file), at % per_file)).drop("_ds", "_one", "_rank", "_before")
+    at = F.col("_rank") - 1
+    return running_sum(d, ["_ds"], order, "_one", "_rank").withColumn("line_id", line_id(F.col("_ds"), F.floor(at / per_file), at % per_file)).drop("_ds", "_one", "_rank")
 
 
 def document_metadata(df: DataFrame) -> DataFrame:
@@ -69,8 +65,6 @@ def seeded_order(key: Column, seed: str = "42") -> Column:
 
 def sample_budget(df: DataFrame, key: str, size: str, budget: int, per_file: int, seed: str = "42") -> DataFrame:
     """Rows in seeded order while their running size stays within ``budget``, with the number of their part file."""
-    from tarnlake.operators.packing import running_sum
-
     d = df.withColumn("_o", seeded_order(F.col(key), seed))
     upto = running_sum(d, [], ["_o", key], size, "_upto").where(F.col("_upto") <= budget)
     return upto.withColumn("part", F.floor((F.col("_upto") - F.col(size)) / per_file)).drop("_o", "_upto")

@@ -21,7 +21,7 @@ def test_packing_never_exceeds(spark):
 
 def test_running_sum_without_keys(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("n"))
-    got = packing.running_sum(df, [], ["id"], "n", "s", blocks=7).orderBy("id").collect()
+    got = packing.running_sum(df, [], ["id"], "n", "s", block_rows=7).orderBy("id").collect()
     total = 0
     for r in got:
         total += r.n
@@ -29,6 +29,61 @@ def test_running_sum_without_keys(spark):
     assert packing.running_sum(df.limit(0), [], ["id"], "n", "s").count() == 0
 
 
+def test_running_sum_by_keys_over_blocks(spark):
+    # one key holds most rows, another begins inside a block, some are tiny; a null size adds nothing
+    rows = [("hot", i, i % 5) for i in range(90)] + [("a", i, 1) for i in range(3)] + [("z", i, None if i == 1 else 2) for i in range(20)] + [(None, 1, 4), (None, 2, 4)]
+    df = spark.createDataFrame([(k, i, n, "x", True) for k, i, n in rows], "k string, i long, n long, _clash string, b boolean")
+    got = packing.running_sum(df, ["k"], ["i"], "n", "s", block_rows=9).collect()
+    want, total = {}, {}
+    for k, i, n in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        total[k] = total.get(k, 0) + (n or 0)
+        want[k, i] = total[k]
+    assert {(r.k, r.i): r.s for r in got} == want and set(got[0].asDict()) == {"k", "i", "n", "_clash", "b", "s"}
+
+
+def test_exact_packing_over_blocks(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(k, i, rnd.choice([1, 2, 3, 30, 99, 100, 140])) for k, n in (("hot", 200), ("b", 7), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, i long, n long")
+    for block in (1 << 20, 11, 3):
+        got = {(r.k, r.i): r.file_no for r in packing.pack_exactly(df, ["k"], "i", "n", 100, block).collect()}
+        want = {}
+        for key in ("hot", "b", "c"):
+            used, no = 0, 0
+            for k, i, n in rows:
+                if k == key:
+                    if used and used + n >= 100:
+                        used, no = 0, no + 1
+                    used += n
+                    want[k, i] = no
+        assert got == want
+    assert packing.pack_exactly(df.limit(0), ["k"], "i", "n", 100).count() == 0
+
+
+def test_greedy_with_skip(spark):
+    sizes = [40, 70, 30, None, 50, 0, 20, 9, 10, 1, 1]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "i int, n long")
+    left, want = 100, []
+    for i, n in enumerate(sizes):
+        if n is not None and n <= left:
+            want.append(i)
+            left -= n
+    assert sorted(r.i for r in packing.greedy_with_skip(df, ["i"], "n", 100).collect()) == want
+    assert packing.greedy_with_skip(df.limit(0), ["i"], "n", 100).count() == 0 and packing.greedy_with_skip(df, ["i"], "n", -1).count() == 0
+
+
+def test_unset_shared_folder_raises_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tarnlake.session import shared_dir
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError):
+        shared_dir(far)
+
+
 def test_register(spark):
     old = spark.createDataFrame([(7, "a")], "dataset_id short, dataset_name string")
     new = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("b", 4), (None, 5)], "dataset_name string, dataset_id int")
@@ -134,10 +189,11 @@ def test_report(spark, tmp_path):
 
 
 def test_threads(spark, tmp_path):
-    df = spark.createDataFrame([([("u", "a")],)], "messages array<struct<role:string,content:string>>")
-    sinks.write_threads(df, str(tmp_path / "t"), "message")
-    line = spark.read.text(str(tmp_path / "t")).collect()[0][0]
-    assert json.loads(line) == {"message": [{"role": "u", "content": "a"}]}
+    df = spark.createDataFrame([(f"{i:02d}", ['{"role":"u","content":"a"}', '{"role":"a","content":"b"}']) for i in range(9)], "root string, messages array<string>")
+    sinks.write_threads(df, str(tmp_path / "t"), "message", per_file=200)
+    lines = spark.read.text(str(tmp_path / "t"))
+    assert json.loads(lines.first().value) == {"message": [{"role": "u", "content": "a"}, {"role": "a", "content": "b"}]}
+    assert lines.count() == 9 and lines.select("part").distinct().count() == 3
 
 
 def test_linked_tree_and_end_flags(spark):
