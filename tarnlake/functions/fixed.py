@@ -76,3 +76,9 @@ TAGGED_SPEAKERS = {"Human": "user", "MOSS": "assistant"}
 # Bytes of the token index format: its first bytes, version, and number of each element type.
 INDEX_MAGIC, INDEX_VERSION = b"MMIDIDX\x00\x00", 1
 ELEMENT_CODES = {"uint8": 1, "int8": 2, "int16": 3, "int32": 4, "int64": 5, "float64": 6, "float32": 7, "uint16": 8}
+# Fixed value: the vocabulary size from which token ids are stored in four bytes instead of two.
+TWO_BYTE_VOCABULARY = 65_535
+# Fixed value: how text is split before byte-level merges, as the public vocabularies expect it.
+SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: how many characters of a text the usual model of abuse reads.
+TOXIC_CHARACTERS = 510

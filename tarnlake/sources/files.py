@@ -15,15 +15,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.functions.clean import SPACE
+from tarnlake.operators.packing import running_sum
 
 
 def _reader(spark: SparkSession, suffix: str):
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
 
 
+def split_record(value: Column, text_key: str) -> Column:
+    """(text, title, other) of a JSON object: the text under ``text_key``, the title as text, all other fields as JSON with
+    the types and the order they had (fields of nested objects by name). Null for what is no object; the text is null where the key is missing or null."""
+    fields = F.from_json(value, "map<string,variant>", {"mode": "PERMISSIVE"})
+
+    def said(m: Column, key: str) -> Column:
+        v = F.try_element_at(m, F.lit(key))
+        kind = F.schema_of_variant(v)
+        # nested values and numbers stand for themselves as JSON, texts without quotation marks
+        return F.when(kind == "VOID", F.lit(None).cast("string")).when(kind == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))
+
+    def parts(m: Column) -> Column:
+        # a title that says nothing (missing, null, empty, zero, false) is empty
+        title = F.coalesce(said(m, "title"), F.lit(""))
+        return F.struct(said(m, text_key).alias("text"), F.when(title.isin("0", "false", "[]", "{}"), "").otherwise(title).alias("title"), F.to_json(F.map_filter(m, lambda k, v: k != text_key)).alias("other"))
+
+    # the record is parsed once: what is made of it is made inside one lambda
+    return F.get(F.transform(F.array(fields), parts), 0)
+
+
 def read_parquet_text(spark: SparkSession, path: str, text_key: str) -> DataFrame:
-    """(text, title, other) of Parquet files below ``path``; a table without ``text_key`` gives no rows."""
-    df = _reader(spark, ".parquet").parquet(path)
+    """(text, title, other) of Parquet files below ``path``; files without ``text_key`` give no rows, whatever the others hold."""
+    df = _reader(spark, ".parquet").option("mergeSchema", True).parquet(path)
     if text_key not in df.columns:
         return spark.createDataFrame([], "text string, title string, other string")
     rest = [c for c in df.columns if c != text_key]
@@ -35,16 +56,17 @@ def read_json_lines(spark: SparkSession, path: str, text_key: str, suffix: str =
     """(text, title, other) of line-wise JSON. A malformed line, one without ``text_key`` or with a null text is skipped;
     bytes that are no UTF-8 don't stop the reading. ``other`` is the rest of the record as JSON. Gzipped files are read too."""
     lines = _reader(spark, f"{suffix}*").text(path)
-    m = F.from_json(F.regexp_replace("value", "�", ""), "map<string,string>", {"mode": "PERMISSIVE"})
-    rows = lines.select(m.alias("m")).where(F.col("m").isNotNull() & F.coalesce(F.map_contains_key("m", text_key), F.lit(False)))
-    rest = F.map_filter("m", lambda k, v: k != text_key)
-    return rows.select(F.element_at("m", text_key).alias("text"), F.coalesce(F.try_element_at("m", F.lit("title")), F.lit("")).alias("title"), F.to_json(rest).alias("other")).where("text is not null")
+    return lines.select(split_record(F.regexp_replace("value", "�", ""), text_key).alias("r")).select("r.*").where("text is not null")
 
 
-def load_dataset(spark: SparkSession, path: str, text_key: str = "text", only_text: bool = False) -> DataFrame:
-    """A dataset by its suffix: .json, .jsonl or .parquet, the text column renamed to text; others raise."""
+def load_dataset(spark: SparkSession, path: str, text_key: str = "text", only_text: bool = False, schema: str | None = None) -> DataFrame:
+    """A dataset by its suffix: .json, .jsonl or .parquet, the text column renamed to text; others raise.
+
+    With ``only_text`` or a ``schema`` JSON is read once; else Spark reads it once more to learn its fields.
+    """
     if path.rstrip("/").endswith((".json", ".jsonl")):
-        df = spark.read.json(path)
+        schema = schema or (f"`{text_key}` string" if only_text else None)
+        df = (spark.read.schema(schema) if schema else spark.read).json(path)
     elif path.rstrip("/").endswith(".parquet"):
         df = spark.read.parquet(path)
     else:
@@ -62,10 +84,14 @@ def load_datasets(spark: SparkSession, paths: list[str], text_key: str = "text",
 
 
 def read_chats(spark: SparkSession, path: str) -> DataFrame:
-    """(conv_id, messages) of chat lines; a record without messages has none, other fields are dropped."""
+    """(conv_id, messages) of chat lines, numbered in the order of file paths and lines, however files are split into tasks;
+    a record without messages has none, other fields are dropped."""
     schema = "messages array<struct<role:string,content:string,score:double>>"
     df = _reader(spark, ".jsonl").schema(schema).option("mode", "DROPMALFORMED").json(path)
-    return df.select(F.monotonically_increasing_id().alias("conv_id"), F.coalesce("messages", F.array().cast("array<struct<role:string,content:string,score:double>>")).alias("messages"))
+    # within a piece of a file, tasks number lines in their order; pieces are ordered by where they begin
+    place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")]
+    rows = df.select(*place, F.coalesce("messages", F.array().cast("array<struct<role:string,content:string,score:double>>")).alias("messages"), F.lit(1).alias("one"))
+    return running_sum(rows, [], ["path", "block", "line"], "one", "conv_id").select((F.col("conv_id") - 1).alias("conv_id"), "messages")
 
 
 def explode_chats(chats: DataFrame) -> DataFrame:
@@ -156,8 +182,8 @@ def docx_to_markdown(data: bytes) -> str:
     return "\n".join(out)
 
 
-def epub_to_markdown(data: bytes) -> str:
-    """The book's pages in reading order, each as Markdown, with a blank line between."""
+def epub_to_markdown(data: bytes, promotions: tuple[str, ...] = ()) -> str:
+    """The book's pages in reading order, each as Markdown with its rows cleaned, and a blank line between."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = [n for n in z.namelist() if n.lower().endswith((".html", ".xhtml", ".htm"))]
         order = names
@@ -169,7 +195,18 @@ def epub_to_markdown(data: bytes) -> str:
             base = opf.rpartition("/")[0]
             spine = [f"{base}/{items[r.get('idref')]}".lstrip("/") for r in root.findall(".//o:spine/o:itemref", ns) if r.get("idref") in items]
             order = [n for n in spine if n in names] + [n for n in names if n not in spine]
-        return "\n\n".join(html_to_markdown(z.read(n).decode("utf-8", "replace")) for n in order)
+        pages = [html_to_markdown(z.read(n).decode("utf-8", "replace")) for n in order]
+    return "\n\n".join(kept_rows(p, promotions) for p in pages)
+
+
+def kept_rows(text: str, promotions: tuple[str, ...] = ()) -> str:
+    """As ``clean_markdown_rows``, for one text."""
+    kept: list[str] = []
+    for row in (r.strip() for r in text.split("\n")):
+        if not row.strip(" <>") or (kept and row == kept[-1]) or any(p in row for p in promotions):
+            continue
+        kept.append(row.rstrip("（］").removeprefix(">").strip())
+    return "\n".join(kept).strip()
 
 
 def read_documents(spark: SparkSession, path: str, convert: dict[str, Callable[[bytes], str]] | None = None) -> DataFrame:
@@ -232,3 +269,35 @@ def nonempty(files: DataFrame) -> DataFrame:
 def pdf_pages(data: bytes) -> int:
     """Pages of an uncompressed page tree; compressed ones need a converter of their own."""
     return len(re.findall(rb"/Type\s*/Page(?![a-zA-Z])", data))
+
+
+def few_pages(files: DataFrame, most: int = 10, pages: Callable[[bytes], int] = pdf_pages) -> DataFrame:
+    """(path, n_pages) of the files (path, content) of at most ``most`` pages; unreadable ones are left out."""
+
+    @F.pandas_udf("int")
+    def count(contents: pd.Series) -> pd.Series:
+        def one(data):
+            try:
+                return pages(bytes(data))
+            except Exception:  # a file that can't be read has no known number of pages
+                return None
+
+        return contents.map(one).astype("Int32")
+
+    return files.select("path", count("content").alias("n_pages")).where(F.col("n_pages").between(1, most))
+
+
+def folder_tree(path: str, depth: int = 0) -> list[str]:
+    """The folder's tree as lines, folders before files, both by name without case; folders of version control are left out."""
+    import os
+
+    hidden = {".git", ".svn", ".hg"}
+    entries = sorted(os.scandir(path), key=lambda e: (not e.is_dir(), e.name.lower()))
+    out = []
+    for e in entries:
+        if e.name in hidden:
+            continue
+        out.append("  " * depth + e.name + ("/" if e.is_dir() else ""))
+        if e.is_dir(follow_symlinks=False):
+            out += folder_tree(e.path, depth + 1)
+    return out
