@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -64,9 +66,12 @@ def keep_line(c: Column, least: int = 50, most_control: float = 0.03) -> Column:
     return F.when(c.isNotNull(), F.coalesce((control_ratio(c) <= most_control) & (F.length(c) >= least), F.lit(False)))
 
 
+@lru_cache(maxsize=1)
 def _special_set() -> str:
     ascii_ = "".join(chr(i) for i in range(128) if not chr(i).isalpha() and (chr(i).isprintable() or chr(i).isspace()) and chr(i) not in "\x1c\x1d\x1e\x1f")
-    emoji = "".join(chr(i) for a, b in ((0x1F300, 0x1F64F), (0x1F680, 0x1F6FF), (0x1F900, 0x1F9FF), (0x2600, 0x27BF)) for i in range(a, b + 1))
+    # emoji of one code point: those with the Emoji property but ASCII signs and the letters that only make flags in pairs
+    every = "".join(chr(i) for i in range(128, 0x20000) if not 0xD800 <= i < 0xE000 and not 0x1F1E6 <= i <= 0x1F1FF)
+    emoji = "".join(regex.findall(r"\p{Emoji}", every))
     return "".join(dict.fromkeys(ascii_ + OTHER_SPECIAL + emoji))
 
 

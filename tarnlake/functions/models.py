@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Tokenizer
@@ -15,14 +17,57 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.operators.lookup import HOT_LEAST, hot_keys, lookup_join
+from tarnlake.session import stage
+
 #: Presets: how texts are cut into words, and how scores decide.
 PRESETS = {"gpt3": ("standard", "pareto"), "chinese": ("pieces", "label"), "code": ("pieces", "label")}
 
 
+def predict_preset(df: DataFrame, model: PipelineModel, preset: str, pieces: str | None = None, seed: int = 42) -> DataFrame:
+    """``predict_quality`` as a preset has it: its words (``pieces``: file of the piece model, where it takes one) and its rule."""
+    if preset not in PRESETS:
+        raise ValueError(f"no preset {preset}; there are {', '.join(PRESETS)}")
+    words, method = PRESETS[preset]
+    if words == "pieces":
+        if not pieces:
+            raise ValueError(f"{preset} needs a piece model")
+        df = df.withColumn("words", pieces_udf(pieces)(F.col("text")))
+    out = predict_quality(df, model, method, seed)
+    return out.drop("words") if words == "pieces" else out
+
+
+def training_sets(df: DataFrame, label: str, key: str, per_class: int | None = None, share: int = 80, seed: str = "42") -> DataFrame:
+    """``df`` with part train or test by the key's hash, after at most ``per_class`` rows of each class are taken in seeded order."""
+    from tarnlake.operators.lake import sample_per_class, split_three
+
+    some = df if per_class is None else sample_per_class(df, label, key, per_class, seed)
+    return split_three(some, key, (share, 0, 100 - share))
+
+
+def labels_udf(predict: Callable[[list[str]], "object"], names: list[str], kind: str = "single") -> Callable[[Column], Column]:
+    """Column function: probability by name from a model's raw scores, by softmax for one label or by sigmoid for many.
+
+    ``predict``: a function from texts to a matrix of scores, one column a name; it is called per Arrow batch.
+    """
+    if kind not in ("single", "multi"):
+        raise ValueError(f"unknown kind {kind}")
+
+    @F.pandas_udf("map<string,double>")
+    def run(texts: pd.Series) -> pd.Series:
+        s = np.asarray(predict(texts.fillna("").tolist()), float).reshape(len(texts), len(names))
+        if kind == "single":
+            e = np.exp(s - s.max(1, keepdims=True))
+            p = e / e.sum(1, keepdims=True)
+        else:
+            p = 1 / (1 + np.exp(-s))
+        return pd.Series([dict(zip(names, map(float, r))) for r in p])
+
+    return run
+
+
 def pieces_udf(model_file: str) -> Callable[[Column], Column]:
     """Column function: the pieces of a text under a piece model, loaded once per Python worker."""
-    import pandas as pd
-
     @F.pandas_udf("array<string>")
     def run(texts: pd.Series) -> pd.Series:
         import sentencepiece
@@ -85,8 +130,16 @@ def perplexity(df: DataFrame, key: str, words: str, singles: DataFrame, pairs: D
     """
     ext = df.select(key, F.concat(F.array(F.lit("<s>")), F.filter(words, lambda w: w.isNotNull()), F.array(F.lit("</s>"))).alias("w"))
     own = ext.select(key, F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.struct(F.get("w", i).alias("a"), F.get("w", i + 1).alias("b")))).alias("p")).groupBy(key, "p.a", "p.b").agg(F.count("*").alias("k"))
-    both = pairs.join(singles.withColumnRenamed("n", "total"), "a")
-    scored = own.join(both, ["a", "b"], "left").join(singles.withColumnRenamed("n", "seen"), "a", "left")
+    # a word like <s> begins a pair in every text: what is looked up for such words is broadcast, one row each
+    begins = stage(own, "pairs")
+    n = begins.count()
+    hot = hot_keys(begins.groupBy("a").agg(F.count("*").alias("c")), "a", "c", n) if n > HOT_LEAST else []
+    counted = pairs.join(singles.withColumnRenamed("n", "seen"), "a").select(F.concat_ws("\u0001", "a", "b").alias("ab"), "n", "seen")
+    hot_pairs = begins.groupBy("a", "b").agg(F.count("*").alias("c")).select(F.concat_ws("\u0001", "a", "b").alias("ab"), "c")
+    both = begins.withColumn("own", F.concat_ws("\u0001", "a", "b"))
+    scored = lookup_join(both, counted, F.col("own") == F.col("ab"), "own", "ab", hot_keys(hot_pairs, "ab", "c", n) if n > HOT_LEAST else [])
+    seen = singles.select(F.col("a").alias("first"), F.col("n").alias("alone"))
+    scored = lookup_join(scored, seen, F.col("a") == F.col("first"), "a", "first", hot).withColumn("seen", F.coalesce("seen", "alone"))
     p = (F.coalesce("n", F.lit(0)) + alpha) / (F.coalesce("seen", F.lit(0)) + alpha * vocabulary)
     return scored.groupBy(key).agg(F.pow(F.lit(10.0), -F.sum(F.col("k") * F.log10(p)) / F.sum("k")).alias("perplexity"))
 

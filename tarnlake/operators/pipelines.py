@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions import clean, text
+from tarnlake.operators.lookup import HOT_LEAST, hot_keys, lookup_join
+from tarnlake.session import stage
 
 
 def map_text(c: Column) -> Column:
@@ -45,18 +47,32 @@ def classifier_row(label: Column, c: Column, stop_words: list[str]) -> Column:
     return F.struct(F.array(label).alias("doc_label"), words.alias("doc_token"), none.alias("doc_keyword"), none.alias("doc_topic"))
 
 
+def han_pairs(c: Column) -> Column:
+    """Every pair of neighbouring Han characters: the default terms, where no segmenter is given."""
+    return F.flatten(F.transform(F.regexp_extract_all(c, F.lit(rf"({clean.HAN}{{2,}})")), lambda r: F.transform(text.positions(F.length(r) - 1), lambda i: F.substring(r, i + 1, F.lit(2)))))
+
+
+def classifier_row_han(label: Column, name: Column, c: Column, stop_words: list[str], terms=None) -> Column:
+    """(doc_topic, doc_label, doc_token, doc_keyword) of a labelled text: its Han terms of two characters or more that are no stop words, without spaces."""
+    found = F.transform((terms or han_pairs)(c), lambda w: F.regexp_replace(w, r"\s+", ""))
+    kept = F.filter(found, lambda w: (F.length(w) >= 2) & w.rlike(clean.HAN) & ~w.isin(stop_words))
+    return F.struct(F.array(label).alias("doc_topic"), F.array(name).alias("doc_label"), kept.alias("doc_token"), F.array(F.lit("")).alias("doc_keyword"))
+
+
 def keywords_chinese(df: DataFrame, key: str = "doc_id", column: str = "text", top: int = 5, terms=None) -> DataFrame:
     """(key, keywords): the terms of highest frequency times rarity over all texts, for texts with Han characters.
 
     ``terms``: a function from text column to array of terms; the default takes pairs of Han characters. Counts are
     aggregated before they are shuffled; the table of document frequencies joins by shuffle, as its size isn't bounded.
     """
-    pairs = lambda c: F.flatten(F.transform(F.regexp_extract_all(c, F.lit(rf"({clean.HAN}{{2,}})")), lambda r: F.transform(text.positions(F.length(r) - 1), lambda i: F.substring(r, i + 1, F.lit(2)))))
     docs = df.where(F.col(column).rlike(clean.HAN))
-    counts = docs.select(key, F.explode(text.runs((terms or pairs)(F.col(column)))).alias("r")).select(key, F.col("r.item").alias("term"), (-F.col("r.neg_count")).alias("n"), F.col("r.first").alias("first"))
+    counts = stage(docs.select(key, F.explode(text.runs((terms or han_pairs)(F.col(column)))).alias("r")).select(key, F.col("r.item").alias("term"), (-F.col("r.neg_count")).alias("n"), F.col("r.first").alias("first")), "counts")
     total = docs.agg(F.count("*").alias("total"))
     rare = counts.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(total)).select("term", F.log(F.col("total") / F.col("df")).alias("idf"))
-    scored = counts.join(rare, "term").select(key, F.struct((-F.round(F.col("n") * F.col("idf"), 9)).alias("s"), "first", "term").alias("x"))
+    n = counts.count()
+    hot = hot_keys(counts.groupBy("term").agg(F.count("*").alias("c")), "term", "c", n) if n > HOT_LEAST else []
+    rare = rare.withColumnRenamed("term", "rare_term")
+    scored = lookup_join(counts, rare, F.col("term") == F.col("rare_term"), "term", "rare_term", hot, "inner").select(key, F.struct((-F.round(F.col("n") * F.col("idf"), 9)).alias("s"), "first", "term").alias("x"))
     # a document's terms are those of one text
     return scored.groupBy(key).agg(F.array_join(F.transform(F.slice(F.sort_array(F.collect_list("x")), 1, top), lambda x: x["term"]), ", ").alias("keywords"))
 

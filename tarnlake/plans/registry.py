@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnlake.plans import chats, lakes, models, texts, trees
+from tarnlake.plans import chats, imports, lakes, models, texts, trees
 
-MODULES = [texts, chats, lakes, models, trees]
+MODULES = [texts, chats, lakes, models, trees, imports]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

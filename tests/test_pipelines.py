@@ -1,3 +1,4 @@
+import json
 import zipfile
 
 import pytest
@@ -75,18 +76,37 @@ def test_export_and_delete(spark, tmp_path):
     (src / "a.jsonl").write_text("\n".join('{"text":"text number %d","title":"t%d"}' % (i, i % 3) for i in range(30)))
     out = str(tmp_path / "out")
     api.import_documents(spark, str(src), "jsonl", "text", 3, out)
-    api.export_lines(spark, out, str(tmp_path / "all"), "all", ["0003"], per_file=100)
-    parts = spark.read.text(str(tmp_path / "all"))
+    target = str(tmp_path / "exports")
+    parts = spark.read.text(api.export(spark, out, target, "random", datasets=["0003"], per_file=100))
     assert parts.count() == 30 and parts.select("part").distinct().count() > 3
-    api.export_lines(spark, out, str(tmp_path / "b"), "budget", budget=100)
-    assert 0 < spark.read.text(str(tmp_path / "b")).count() <= 7
-    api.export_lines(spark, out, str(tmp_path / "s"), "select", conditions={"title": ["t1", "t2"]})
-    assert spark.read.text(str(tmp_path / "s")).count() == 20
+    assert 0 < api.chosen_lines(spark, out, "certain_sampling", budget=100).count() <= 7
+    assert api.chosen_lines(spark, out, "select", conditions={"title": ["t1", "t2"]}).count() == 20
+    some = api.chosen_lines(spark, out, "subject_sampling", conditions={"title": "t1"}, budget=50).collect()
+    assert 2 <= len(some) and sum(len(r.text) for r in some) <= 50
+    v = tmp_path / "v.json"
+    v.write_text(json.dumps(WORD_FILE))
+    folder = api.export(spark, out, target, "random", "binidx", "HFTokenizer", str(v))
+    assert spark.read.format("tokens").load(f"{folder}/{folder.rpartition('/')[2]}").count() == 30
+    assert api.export(spark, out, target, "select", conditions={"title": "none such"}) is None
     assert api.delete_titles(spark, out, ["t1"], [3]) == 10 and api.delete_titles(spark, out, ["t1"]) == 0
-    api.export_lines(spark, out, str(tmp_path / "all2"), "all")
-    assert spark.read.text(str(tmp_path / "all2")).count() == 20
-    with pytest.raises(ValueError):
-        api.export_lines(spark, out, str(tmp_path / "x"), "none")
+    assert api.chosen_lines(spark, out, "random").count() == 20
+    for bad in (dict(method="none"), dict(method="random", data_type="csv"), dict(method="random", data_type="binidx")):
+        with pytest.raises(ValueError):
+            api.export(spark, out, target, **bad)
+
+
+#: A tokenizer file that knows a few words.
+WORD_FILE = {
+    "version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "Whitespace"}, "post_processor": None, "decoder": None,
+    "model": {"type": "WordLevel", "vocab": {"[UNK]": 0, "text": 1, "number": 2, "<|endoftext|>": 3}, "unk_token": "[UNK]"},
+}
+
+
+def test_registry(spark, tmp_path):
+    out = str(tmp_path / "o")
+    assert api.register_dataset(spark, "a", out, dataset_type="PT") == 1 and api.register_dataset(spark, "b", out, dataset_type="SFT") == 2
+    with pytest.raises(ValueError, match="01"):
+        api.register_dataset(spark, "a", out, dataset_type="PT")
 
 
 def test_chat_file(spark, tmp_path):
@@ -94,3 +114,33 @@ def test_chat_file(spark, tmp_path):
     api.normalize_chat_file(spark, str(tmp_path / "c.jsonl"), str(tmp_path / "o"))
     got = {r[0] for r in spark.read.text(str(tmp_path / "o")).collect()}
     assert got == {'{"messages":[{"role":"h","content":"x"}]}', '{"user":"q","assistant":"o"}'}
+
+
+def test_chats_end_to_end(spark, tmp_path):
+    say = lambda *turns: {"messages": [{"role": r, "content": c, **({"score": x[0]} if x else {})} for r, c, *x in turns]}
+    chats = [say(("user", "a"), ("assistant", "b"), ("user", "c")), say(("user", "a"), ("assistant", "b")), say(("user", "a"), ("assistant", "d")), say(("user", "x")), say()]
+    (tmp_path / "c.jsonl").write_text("\n".join(json.dumps(c) for c in chats))
+    rows = {r.content: r for r in api.import_chats(spark, str(tmp_path / "c.jsonl"), 5, str(tmp_path / "o")).collect()}
+    assert set(rows) == set("abcdx") and all(r.line_id.startswith("00050000") for r in rows.values())
+    assert rows["a"].line_id < rows["b"].line_id < rows["c"].line_id < rows["d"].line_id  # in the order of the file
+    assert rows["b"].frontID == rows["d"].frontID == rows["a"].line_id and rows["c"].indexID == rows["a"].line_id == rows["a"].indexID
+    assert {c: r.end for c, r in rows.items()} == {"a": "false", "b": "false", "c": "true", "d": "true", "x": "false"}
+    threads = sorted([m["content"] for m in json.loads(r.value)["message"]] for r in spark.read.text(str(tmp_path / "o" / "threads_sft" / "0005")).collect())
+    assert threads == [["a", "b", "c"], ["a", "d"], ["x"]]
+    pairs = [say(("user", "p", None), ("assistant", "good", 2.0)), say(("user", "p", None), ("assistant", "bad", 1.0))]
+    (tmp_path / "d.jsonl").write_text("\n".join(json.dumps(c) for c in pairs))
+    assert api.import_chats(spark, str(tmp_path / "d.jsonl"), 6, str(tmp_path / "o"), preferences=True).count() == 3
+    got = [json.loads(r.value)["messages"] for r in spark.read.text(str(tmp_path / "o" / "threads_dpo" / "0006")).collect()]
+    assert [[(m["content"], m.get("score")) for m in g] for g in got] == [[("p", None), ("good", 2.0), ("bad", 1.0)]]
+
+
+def test_presets_and_predictor(spark):
+    df = spark.createDataFrame([("a b", 1), ("c d", 0)] * 5, "text string, label int")
+    m = models.train_quality(df, features=64, rounds=5)
+    assert models.predict_preset(df, m, "gpt3").count() == 10
+    for bad in (("none", None), ("chinese", None)):
+        with pytest.raises(ValueError):
+            models.predict_preset(df, m, *bad)
+    f = models.labels_udf(lambda ts: [[float(len(t)), 0.0] for t in ts], ["x", "y"])
+    got = [r[0] for r in spark.createDataFrame([("",), ("abc",), (None,)], "t string").select(f(F.col("t"))).collect()]
+    assert got[0] == {"x": 0.5, "y": 0.5} == got[2] and got[1]["x"] > 0.9 and abs(sum(got[1].values()) - 1) < 1e-9
