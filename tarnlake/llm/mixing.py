@@ -71,15 +71,16 @@ def thresholds(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     return left.withColumnRenamed("low", "threshold")
 
 
-def mix(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY, sizes_given: bool = False) -> tuple[DataFrame, DataFrame]:
     """(mix_name, doc_id, source, n_tokens, copies) of every document that a mix holds, and the report per mix and
     source: target and actual share, tokens wanted and taken, documents, and the most copies of one.
 
     ``documents`` (doc_id, source, text), ``targets`` (mix_name, source, target_share, max_repeats, size_factor).
+    ``sizes_given``: documents have n_tokens and h, a hash of BITS * LEVELS bits, in place of text.
     A source ends at most one document short of its budget, or at its cap; other sources aren't stretched to
     make up for it, the report shows the difference. Documents without source or tokens enter no mix.
     """
-    sizes = sized(documents, vocabulary)
+    sizes = stage(documents.select("doc_id", named_source(F.col("source")).alias("source"), "n_tokens", "h"), "sized") if sizes_given else sized(documents, vocabulary)
     plan = budgets(sizes, targets)
     cut = thresholds(sizes, plan)
     rows = sizes.where("n_tokens > 0").join(F.broadcast(cut.select("mix_name", "source", "whole", "threshold")), "source")

@@ -14,7 +14,7 @@ from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
 from tarnlake.llm.mixing import mix, named_source
 from tarnlake.llm.subjects import subjects_of
-from tarnlake.llm.toxicity import judged_harmless, score_texts, train_tagger
+from tarnlake.llm.toxicity import judged_harmless, score_texts, spans_udf, train_tagger
 from tarnlake.operators.hierarchy import clean_id, clean_parent
 from tarnlake.session import table
 
@@ -56,14 +56,19 @@ def _tagger(spark: SparkSession, sf: str):
     return train_tagger(judged_harmless(table(spark, sf, "documents"), table(spark, sf, "review_label")))
 
 
-def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
-    """(record_id, item_no, origin, score) of every document and every element of a text list."""
+def _single_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """(record_id, item_no, origin, text) of every document and every element of a text list."""
     docs = table(spark, sf, "documents").where("line_id is not null")
     requests = table(spark, sf, "import_text_item").where("request_id is not null")
     of_docs = docs.select(F.col("line_id").alias("record_id"), F.lit(0).cast("long").alias("item_no"), F.concat(F.lit("source:"), named_source(F.col("source"))).alias("origin"), "text")
     items = requests.select("request_id", "caller", F.posexplode("text_list").alias("at", "text"))
     of_items = items.select(F.col("request_id").cast("string").alias("record_id"), (F.col("at") + 1).cast("long").alias("item_no"), F.concat(F.lit("caller:"), named_source(F.col("caller"))).alias("origin"), "text")
-    return score_texts(of_docs.unionByName(of_items), _tagger(spark, sf), full_repair(docs)).drop("text")
+    return of_docs.unionByName(of_items)
+
+
+def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """(record_id, item_no, origin, score) of every single text."""
+    return score_texts(_single_texts(spark, sf), _tagger(spark, sf), full_repair(table(spark, sf, "documents"))).drop("text")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,6 +82,13 @@ def p2_rates(spark: SparkSession, sf: str) -> DataFrame:
     return each.groupBy(F.coalesce("origin", F.lit("unknown")).alias("origin")).agg(F.count("*").alias("n_texts"), F.sum((F.col("score") > 0.5).cast("long")).alias("n_offending"), F.avg("score").alias("mean_score"))
 
 
+def p2_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """The offending sentences of every single text, as places in it."""
+    spans = spans_udf(_tagger(spark, sf), full_repair(table(spark, sf, "documents")))
+    found = _single_texts(spark, sf).where(F.col("text").rlike(r"\p{L}")).select("record_id", "item_no", F.explode(spans("text")).alias("s"))
+    return found.select("record_id", "item_no", "s.start", "s.end", "s.score").distinct()
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """Missing or wrong language labels of lines and datasets, and documents in several languages."""
     docs = table(spark, sf, "documents")
@@ -135,6 +147,24 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mix(table(spark, sf, "documents"), table(spark, sf, "mix_target"))[1]
 
 
+def _mixed_by_chars(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, sf, "documents")
+    first = F.conv(F.left(F.md5(F.concat(F.lit("mix"), F.col("doc_id").cast("string"))), F.lit(13)), 16, 10).cast("long")
+    rows = docs.select("doc_id", "source", F.coalesce("n_chars", F.lit(0)).cast("long").alias("n_tokens"), F.floor(first / 4).cast("long").alias("h"))
+    return mix(rows, table(spark, sf, "mix_target"), sizes_given=True)
+
+
+def p8_mix_chars(spark: SparkSession, sf: str) -> DataFrame:
+    """As p8_mix, with characters for tokens and a hash that SQL has too."""
+    return _mixed_by_chars(spark, sf)[0].select("mix_name", "doc_id", "source", "n_tokens", "copies")
+
+
+def p8_shares_chars(spark: SparkSession, sf: str) -> DataFrame:
+    """As p8_shares, with characters for tokens and a hash that SQL has too."""
+    r = _mixed_by_chars(spark, sf)[1]
+    return r.select("mix_name", "source", F.round("target_share", 9).alias("target_share"), F.round("wanted_tokens", 3).alias("wanted_tokens"), "there", "taken_tokens", "n_docs", "most_copies", F.round("actual_share", 9).alias("actual_share"))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents some of whose text was decoded with the wrong encoding."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -156,7 +186,7 @@ def _run(query):
     return run
 
 
-QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p6_found": p6_found, "p6_rates": p6_rates, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
+QUERIES = {k: _run(f) for k, f in {"p1_found": p1_found, "p1_composition": p1_composition, "p2_found": p2_found, "p2_rates": p2_rates, "p2_spans": p2_spans, "p4_found": p4_found, "p4_passages": p4_passages, "p5_found": p5_found, "p6_found": p6_found, "p6_rates": p6_rates, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_mix_chars": p8_mix_chars, "p8_shares_chars": p8_shares_chars, "p9_found": p9_found, "p9_restored": p9_restored}.items()}
 
 
 def oracle_sql() -> dict[str, str]:

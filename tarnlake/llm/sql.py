@@ -38,3 +38,16 @@ judged as (select *, coalesce(has and who is not null
 good as (select leaf, max(d) deep from judged group by leaf having bool_and(ok))
 select j.leaf leaf_id, cast(g.deep - j.d as bigint) turn_no, j.id line_id, j.who speaker from judged j join good g on g.leaf = j.leaf""",
 }
+_SOURCE = "nullif(regexp_replace(lower(trim({c})), '[\\s\\-_./]+', '_', 'g'), '')"
+MIXED = f"""d as (select doc_id, {_SOURCE.format(c='source')} source, coalesce(n_chars, 0) n, cast('0x' || left(md5('mix' || doc_id), 13) as bigint) // 4 h from documents),
+s as (select source, sum(n) there from d where source is not null group by 1),
+g as (select mix_name, {_SOURCE.format(c='source')} source, sum(target_share) share, min(max_repeats) cap, max(size_factor) factor from mix_target where mix_name is not null and target_share > 0 group by 1, 2 having {_SOURCE.format(c='source')} is not null),
+w as (select g.mix_name, g.source, share / sum(share) over (partition by g.mix_name) share, cap, coalesce(s.there, 0) there, share / sum(share) over (partition by g.mix_name) * coalesce(factor, 1.0) * (select sum(n) from d) wanted from g left join s on s.source = g.source),
+b as (select *, case when there > 0 then case when cap is null then wanted else least(wanted, greatest(cap, 0) * there) end else 0.0 end budget from w),
+p as (select *, case when there > 0 then floor(budget / there) else 0 end whole from b),
+o as (select source, doc_id, n, sum(n) over (partition by source order by h) upto from d where source is not null),
+taken as (select p.mix_name, o.doc_id, o.source, o.n n_tokens, cast(p.whole + case when o.upto <= p.budget - p.whole * p.there then 1 else 0 end as bigint) copies from o join p using (source) where o.n > 0)"""
+SQL["p8_mix_chars"] = f"with {MIXED} select * from taken where copies > 0"
+SQL["p8_shares_chars"] = f"""with {MIXED}, t as (select mix_name, source, cast(sum(n_tokens * copies) as bigint) taken, count(*) n_docs, max(copies) most from taken where copies > 0 group by 1, 2),
+r as (select p.mix_name, p.source, share, wanted, there, coalesce(taken, 0) taken, coalesce(n_docs, 0) n_docs, coalesce(most, 0) most from p left join t on t.mix_name = p.mix_name and t.source = p.source)
+select mix_name, source, round(share, 9) target_share, round(wanted, 3) wanted_tokens, cast(there as bigint) there, taken taken_tokens, n_docs, most most_copies, round(case when sum(taken) over (partition by mix_name) > 0 then taken / sum(taken) over (partition by mix_name) else 0 end, 9) actual_share from r"""

@@ -8,10 +8,10 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tarnlake.functions.fixed import SPLIT_PATTERN
+
 #: Where the vocabulary files lie; a parameter everywhere, never part of the repository.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-#: The usual pattern that splits text before byte-level merges.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 @lru_cache(maxsize=4)
@@ -21,7 +21,7 @@ def encoder(path: str = VOCABULARY):
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(path, pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def count_tokens_udf(path: str = VOCABULARY):

@@ -96,6 +96,14 @@ def test_bound_holds(tagger):
         assert tagger.marginals(e, np.array([len(e)])).max() <= tagger.bound(np.array([e.max()], np.float64), np.array([len(e)]))[0] + 1e-9
 
 
+def test_spans_point_into_the_stored_text(spark, tagger, chars):
+    bad = "Shut your mouth, you filthy idiot."
+    stored = f"FÃ¼r PrÃ¼fungsbÃ¶gen wurden schÃ¶ne Beispiele gesammelt. {bad} Es gab weitere GrÃ¼nde dafÃ¼r."
+    df = spark.createDataFrame([("1", stored, "x"), ("2", None, "x"), ("3", "All is well.", "x")], "record_id string, text string, score string")
+    got = {r.record_id: r.spans for r in df.select("record_id", toxicity.spans_udf(tagger, chars.restore)("text").alias("spans")).collect()}
+    assert [stored[s.start : s.end].strip() for s in got["1"]] == [bad] and got["2"] == got["3"] == []
+
+
 def test_forward_backward_against_enumeration():
     import itertools
 
@@ -194,6 +202,8 @@ def test_queries_against_sql(spark):
     from tarnlake.llm import queries
 
     for name, sql in queries.oracle_sql().items():
+        if name.startswith("p8"):
+            continue  # below
         said = compare(spark, duck(SF), name, queries.QUERIES[name], sql, SF)
         assert said.startswith("equal"), said
 
@@ -213,27 +223,68 @@ def test_answers(spark, languages):
     assert answers.defective_answers(messages(spark, rows).limit(0), languages).count() == 0
 
 
+def test_refusals_of_any_length():
+    why = "This topic is outside of what I may discuss, and my guidelines tell me to leave such a request alone. "
+    long = "I'm sorry, but I cannot help with this question. " + why * 8
+    assert len(long) > 800 and answers.is_refusal(long) and answers.is_refusal(long[:200])
+    done = "I cannot say that I was there. I cannot help that. This is the topic. " + "The old harbour was built in 1900 by the town and its merchants, who paid for the walls. " * 6
+    assert not answers.is_refusal(done)
+    assert not answers.is_refusal("The harbour was built in 1900. It was rebuilt twice. It is large. Ships call daily. I cannot help with this question.")
+
+
+def test_code_before_the_last_characters(languages):
+    model = answers.EndingModel({}, {}, -0.2)
+    body = "\n".join(f"    total += weights[{i}] * values[{i}]" for i in range(60))
+    assert len(body) > 1_200
+    assert not answers.is_truncated(f"```\nfor i in range(n):\n{body}", model)  # an open block of code
+    assert not answers.is_truncated(f"def total(weights, values):\n{body}\n    last line of it", model)
+    assert answers.is_truncated("```\nx = 1\n```\n\nThe code above adds one and then it", model)
+
+
 # 7
 
 
-def test_leaks_find_what_brute_force_finds(spark):
-    docs, items = table(spark, SF, "documents").select("doc_id", "text"), table(spark, SF, "eval_item")
-    got = {(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, items).collect()}
-    rows = items.orderBy("item_id").collect()
-    own = leaks.own_text([r.item_text for r in rows])
+def brute_leaks(docs, own, limit=0.42):
+    """Every document against every item by weighted shingles, with no window, fingerprint or index."""
     sh = lambda t: {leaks.letters(t)[i : i + leaks.SHINGLE] for i in range(len(leaks.letters(t)) - leaks.SHINGLE + 1)}
-    sets = [sh(t) for t in own]
-    df: dict = {}
-    for s in sets:
+    sets = {k: sh(t) for k, t in own.items()}
+    held: dict = {}
+    for k, s in sets.items():
         for x in s:
-            df[x] = df.get(x, 0) + 1
-    want = set()
-    for d in docs.where("text is not null").collect():
-        mine = sh(d.text)
-        for r, s in zip(rows, sets):
-            if mine & s and sum(1 / df[x] for x in mine & s) / sum(1 / df[x] for x in s) > 0.42:
-                want.add((d.doc_id, r.item_id))
-    assert got == want and want
+            held.setdefault(x, []).append(k)
+    total = {k: sum(1 / len(held[x]) for x in s) for k, s in sets.items()}
+    found = set()
+    for d, text in docs:
+        mass: dict = {}
+        for x in sh(text):
+            for k in held.get(x, ()):
+                mass[k] = mass.get(k, 0) + 1 / len(held[x])
+        found |= {(d, k) for k, m in mass.items() if m / total[k] > limit}
+    return found
+
+
+def test_leaks_find_what_brute_force_finds(spark):
+    docs, items = table(spark, SF, "documents").select("doc_id", "text"), table(spark, SF, "eval_item")
+    own = {r.item_id: r.t for r in leaks.own_texts(items).collect()}
+    assert len(own) == items.count() and 0 < sum(own[r.item_id] != r.item_text for r in items.collect()) < len(own)
+    want = brute_leaks([(d.doc_id, d.text) for d in docs.where("text is not null").collect()], own)
+    for part_bytes in (16 << 20, 20_000):  # one index, and one for each part of the items: weights count over all
+        assert {(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, items, part_bytes=part_bytes).collect()} == want and want
+
+
+def test_many_items_stay_small_and_whole():
+    """Items far beyond the tables' number: memory in proportion, and what brute force finds."""
+    import random
+
+    r = random.Random(2)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8))) for _ in range(4_000)]
+    items = [" ".join(r.choice(words) for _ in range(60)) for _ in range(5_000)]
+    index = leaks.ItemIndex(list(range(len(items))), items)
+    held = sum(v.nbytes for v in index.__dict__.values() if hasattr(v, "nbytes")) + sum(a.nbytes + b.nbytes for a, b in index.tables())
+    assert held < 20_000 * len(items)  # 20 kB an item: 1 GB for 50,000
+    docs = [" ".join(r.choice(words) for _ in range(100)) for _ in range(60)] + [f"Before it. {items[7 * i][: 400 if i % 2 else 150]} After it." for i in range(60)]
+    got = {(d, k) for d, found in enumerate(index.leaks(docs)) for k, _ in found}
+    assert got == brute_leaks(list(enumerate(docs)), dict(enumerate(items))) and len(got) > 40
 
 
 def test_leaks_changed_and_edges(spark):
@@ -244,8 +295,6 @@ def test_leaks_changed_and_edges(spark):
     docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, item_id string")
     assert {(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, items).collect()} == {(1, 1), (5, 1), (6, 1)}
     assert leaks.find_leaks(docs, items.limit(0)).count() == 0 and leaks.find_leaks(docs.limit(0), items).count() == 0
-    with pytest.raises(ValueError):
-        leaks.item_index(spark.range(5).select(F.col("id").alias("item_id"), F.lit("x").alias("item_text")), most=3)
 
 
 # 8
@@ -266,6 +315,16 @@ def test_mix(spark):
     assert mixing.mix(docs.limit(0), t)[0].count() == 0 and mixing.mix(docs, t.limit(0))[1].count() == 0
 
 
+def test_mix_by_any_size_and_hash_against_sql(spark):
+    from oracle_compare import compare, duck
+
+    from tarnlake.llm import queries
+
+    for name in ("p8_mix_chars", "p8_shares_chars"):
+        said = compare(spark, duck(SF), name, queries.QUERIES[name], queries.oracle_sql()[name], SF)
+        assert said.startswith("equal"), said
+
+
 def test_mix_refines_the_boundary_bucket(spark):
     low = 1 << 40  # one bucket of the first level
     sizes = spark.createDataFrame([("a", 10, 5), ("a", 10, 7 * low + 3), ("a", 10, 7 * low + 900), ("a", 10, 9 * low)], "source string, n_tokens long, h long")
