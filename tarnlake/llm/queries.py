@@ -13,8 +13,8 @@ from tarnlake.llm.leaks import find_leaks
 from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
 from tarnlake.llm.mixing import mix, named_source
-from tarnlake.llm.subjects import subjects_of
-from tarnlake.llm.toxicity import judged_harmless, score_texts, spans_udf, train_tagger
+from tarnlake.llm.subjects import judged_texts, learned_terms, subjects_of
+from tarnlake.llm.toxicity import judged, score_texts, spans_udf, train_reviewed
 from tarnlake.operators.hierarchy import clean_id, clean_parent
 from tarnlake.session import table
 
@@ -32,11 +32,12 @@ def _openings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _subjects(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    labels = table(spark, sf, "review_label").select("line_id", "subjects")
-    repair = full_repair(docs)
-    of_docs = subjects_of(docs.select("line_id", "text").where("line_id is not null"), labels, least_sentences=2, repair=repair)
-    return of_docs.unionByName(subjects_of(_openings(spark, sf), labels, least_sentences=1))
+    docs = table(spark, sf, "documents").select("line_id", "text").where("line_id is not null")
+    openings, labels = _openings(spark, sf), table(spark, sf, "review_label").select("line_id", "subjects")
+    of_docs, of_openings = judged_texts(docs, labels), judged_texts(openings, labels)
+    terms = learned_terms(of_docs, of_openings)
+    found = subjects_of(docs, of_docs, 2, terms, full_repair(docs))
+    return found.unionByName(subjects_of(openings, of_openings, 1, terms))
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,7 +54,8 @@ def p1_composition(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tagger(spark: SparkSession, sf: str):
-    return train_tagger(judged_harmless(table(spark, sf, "documents"), table(spark, sf, "review_label")))
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "review_label")
+    return train_reviewed(judged(docs, labels, False), judged(docs, labels, True))
 
 
 def _single_texts(spark: SparkSession, sf: str) -> DataFrame:

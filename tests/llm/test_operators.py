@@ -1,5 +1,6 @@
 """Each operator on small inputs: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,7 +25,8 @@ def chars(spark):
 
 @pytest.fixture(scope="module")
 def tagger(spark):
-    return toxicity.train_tagger(toxicity.judged_harmless(table(spark, SF, "documents"), table(spark, SF, "review_label")), rounds=80)
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "review_label")
+    return toxicity.train_reviewed(toxicity.judged(docs, labels, False), toxicity.judged(docs, labels, True), rounds=100)
 
 
 def messages(spark, rows):
@@ -50,25 +52,37 @@ def test_subjects(spark):
     long = "The court heard the plaintiff. The judge upheld the appeal. " * 3_000
     rows = [("a", "The court heard the plaintiff. The judge upheld the appeal. A witness spoke."), ("b", "A passing word on the court. Nothing else here, only a walk and then a long evening at home."), ("c", None), ("d", ""), ("a", "The court heard the plaintiff. The judge upheld the appeal. A witness spoke."), ("e", long), ("f", "医院里的病人接受治疗。医生调整了药剂。护士检查症状。")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "line_id string, text string, words string")
-    none = spark.createDataFrame([], "line_id string, subjects array<string>")
-    got = subjects.subjects_of(df, none, 2).collect()
+    got = subjects.subjects_of(df, [], 2).collect()
     assert len(got) == len(rows)
     by = {r.line_id: r.subjects for r in got}
     assert by["a"] == ["law"] == by["e"] and by["b"] == by["c"] == by["d"] == [] and by["f"] == ["medicine"]
-    assert subjects.subjects_of(df.limit(0), none, 2).count() == 0
+    assert subjects.subjects_of(df.limit(0), [], 2).count() == 0
+    none = spark.createDataFrame([], "line_id string, subjects array<string>")
+    assert subjects.judged_texts(df, none) == []
+
+
+def test_terms_are_learned_and_shared():
+    texts = [(f"The zorblat was quomed by town {i}. Nobody minded the evening walk.", {"music"}) for i in range(6)] + [(f"Nobody minded town {i} in the evening.", {"law"}) for i in range(9)]
+    t = subjects.curated().with_learned(texts)
+    new = dict(zip(t.terms[len(subjects.curated().terms) :], t.weights[len(subjects.curated().terms) :]))
+    assert " zorblat " in new and subjects.SUBJECTS[int(new[" zorblat "].argmax())] == "music"
+    assert not any("nobody" in x and x.strip() == "nobody" for x in new) and subjects.curated().with_learned([]) is subjects.curated()
+    assert subjects.candidates("把米饭放好 red-hot 42") == {"把米", "米饭", "饭放", "放好", "把米饭", "米饭放", "饭放好", "把米饭放", "米饭放好", " red hot "}
+    two = subjects.Terms([" bank "], np.array([[1.0 if s in ("finance", "travel") else 0.0 for s in subjects.SUBJECTS]]))
+    assert (subjects.features(two.weights, np.array([0]), np.array([0]), np.ones(1, np.float32))[:, 0] > 0).sum() == 2
 
 
 def test_subjects_against_judgements(spark):
-    docs, labels = table(spark, SF, "documents").select("line_id", "text"), table(spark, SF, "review_label")
-    got = {r.line_id: set(r.subjects) for r in subjects.subjects_of(docs, labels.select("line_id", "subjects"), 2).collect()}
-    right = wrong = missed = 0
-    for r in labels.where("subjects is not null").groupBy("line_id").agg(F.collect_list("subjects").alias("s")).collect():
-        if r.line_id in got and len(r.s) == 1:
-            truth = set(r.s[0])
-            right += len(got[r.line_id] & truth)
-            wrong += len(got[r.line_id] - truth)
-            missed += len(truth - got[r.line_id])
-    assert 2 * right / (2 * right + wrong + missed) > 0.85
+    """Held out: no reviewed text of those asked taught a term or set a threshold."""
+    docs, labels = table(spark, SF.replace("0.01", "0.1"), "documents").select("line_id", "text"), table(spark, SF.replace("0.01", "0.1"), "review_label").select("line_id", "subjects")
+    all_ = subjects.judged_texts(docs, labels)
+    asked = {line: y for line, _, y in all_[: len(all_) // 3]}
+    rest = all_[len(all_) // 3 :]
+    some = docs.where(F.col("line_id").isin(list(asked)))
+    for judged, least in ((rest, 0.9), ([], 0.6)):  # with what the others teach, and by the general terms alone
+        got = {r.line_id: set(r.subjects) for r in subjects.subjects_of(some, judged, 2).collect()}
+        right = sum(len(got[k] & y) for k, y in asked.items())
+        assert 2 * right / (sum(len(got[k]) for k in asked) + sum(map(len, asked.values()))) > least
 
 
 # 2
@@ -86,10 +100,17 @@ def test_toxicity(spark, tagger):
     assert toxicity.score_texts(df.limit(0), tagger).count() == 0
 
 
+def test_reviewed_texts_teach_new_words():
+    """A wording that no example has is learned from texts called toxic, and plain sentences beside it aren't."""
+    calm = ["The ferry was late again. Nobody minded the weather.", "A neighbour repaired the old roof. The notes say nothing about the reason."]
+    bad = [f"The ferry was late again. You {w} of a glimbor, you idiot {w}. Nobody minded the weather." for w in ("mugwart", "pilchard", "snollygost")] * 2
+    model = toxicity.train_reviewed(calm, bad, rounds=60)
+    assert model.scores(["You pilchard of a glimbor."])[0] > 0.5 > model.scores(["The ferry was late again."])[0]
+    assert toxicity.train_reviewed([], [], rounds=3).scores([""])[0] == 0
+
+
 def test_bound_holds(tagger):
     """No sentence's marginal exceeds what the bound proves."""
-    import numpy as np
-
     toks = [toxicity.tokens(t) for t in ("The weather did not help", "you may close this window now", "Alle waren da", "x", "kill the process", "you idiot", "idiot")]
     for t in toks:
         e, sent, _ = tagger.evidence(t, np.zeros(len(t), int))
@@ -107,8 +128,6 @@ def test_spans_point_into_the_stored_text(spark, tagger, chars):
 def test_forward_backward_against_enumeration():
     import itertools
 
-    import numpy as np
-
     rng = np.random.default_rng(1)
     trans, counts = rng.normal(size=(2, 2)), np.array([3, 0, 1, 5])
     x = rng.normal(size=counts.sum()) * 3
@@ -131,8 +150,6 @@ def test_forward_backward_against_enumeration():
 
 
 def test_scores_are_marginals(spark, tagger):
-    import numpy as np
-
     texts = ["The weather did not help.", "Alle waren da. The ferry was late again! Nobody minded.", "you may close this window now", "Idiot!"]
     want = []
     for t in texts:
@@ -159,8 +176,6 @@ def test_languages(spark, languages):
 
 
 def test_codewords():
-    import numpy as np
-
     c = language.codewords(6)
     assert c.shape == (6, 16) and min(int((c[i] != c[j]).sum()) for i in range(6) for j in range(i)) == 8
     assert np.unique(c, axis=1).shape == c.shape
@@ -282,9 +297,9 @@ def test_many_items_stay_small_and_whole():
     index = leaks.ItemIndex(list(range(len(items))), items)
     held = sum(v.nbytes for v in index.__dict__.values() if hasattr(v, "nbytes")) + sum(a.nbytes + b.nbytes for a, b in index.tables())
     assert held < 20_000 * len(items)  # 20 kB an item: 1 GB for 50,000
-    docs = [" ".join(r.choice(words) for _ in range(100)) for _ in range(60)] + [f"Before it. {items[7 * i][: 400 if i % 2 else 150]} After it." for i in range(60)]
+    docs = [" ".join(r.choice(words) for _ in range(100)) for _ in range(20)] + [f"Before it. {items[7 * i][: 400 if i % 2 else 150]} After it." for i in range(30)]
     got = {(d, k) for d, found in enumerate(index.leaks(docs)) for k, _ in found}
-    assert got == brute_leaks(list(enumerate(docs)), dict(enumerate(items))) and len(got) > 40
+    assert got == brute_leaks(list(enumerate(docs)), dict(enumerate(items))) and len(got) >= 15
 
 
 def test_leaks_changed_and_edges(spark):
