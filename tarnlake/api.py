@@ -52,6 +52,18 @@ def import_documents(spark: SparkSession, path: str, kind: str, text_key: str, d
     return spark.read.parquet(f"{out}/text_line").where(F.col("dataset_id") == dataset_id)
 
 
+def keep_flags(spark: SparkSession, texts: list[str], out: str) -> list[bool] | None:
+    """For a batch of texts, whether the vector search keeps each beside those before it and the lake below ``out``; None if it fails."""
+    try:
+        df = spark.createDataFrame(list(enumerate(texts)), "text_no long, text string")
+        chunked = stage(vectors.chunk_vectors(df, pipelines.embed_udf(), 5164, 200), "vectors")
+        kept = {r.text_id: r.keep for r in vectors.embedded_keep(chunked, _lake_vectors(spark, f"{out}/lake")).collect()}
+        return [kept.get(i, False) for i in range(len(texts))]
+    except Exception:  # callers go on without deduplication, as with a service that can't be reached
+        log.exception("no keep flags")
+        return None
+
+
 def register_dataset(spark: SparkSession, name: str, out: str, **fields: str) -> int:
     """Enter a dataset in the registry below ``out`` and return its id; a name that is taken raises (code 01)."""
     path = f"{out}/text_meta"

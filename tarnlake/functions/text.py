@@ -141,3 +141,24 @@ def line_id(dataset: Column, file: Column, line: Column) -> Column:
 def point_id(text: Column, chunk: Column) -> Column:
     """Id of a chunk's vector: the first 24 digits of the text's MD5, then the chunk's number, so that the same text overwrites itself."""
     return F.concat(F.left(F.md5(text), F.lit(24)), F.lpad(chunk.cast("string"), 8, "0"))
+
+
+def chunk_table():
+    """A table function (chunk_no, chunk) of a text, as ``chunks`` cuts it: register it with ``spark.udtf.register``."""
+    from pyspark.sql.functions import udtf
+
+    class Chunks:
+        def eval(self, text: str, size: int, overlap: int):
+            if text is None:
+                return
+            n, step = len(text), size - overlap
+            count = 1 if n <= size else -(-(n - size) // step) + 1
+            for i in range(count):
+                part = text[i * step : i * step + size]
+                if count > 1 and i == count - 1 and len(part) < size:
+                    # filled up from the chunk before, whose last character doesn't count
+                    before, missing = text[(i - 1) * step : (i - 1) * step + size], size - len(part)
+                    part = before[-(missing + 1) : -1] + part
+                yield i, part
+
+    return udtf(Chunks, returnType="chunk_no int, chunk string")

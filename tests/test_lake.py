@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,22 @@ def test_vectors(spark):
     assert unit[3] == [0.0, 0.0] and unit[4] is None and abs(unit[1][0] ** 2 + unit[1][1] ** 2 - 1) < 1e-9
 
 
+def test_search_in_blocks_and_by_index(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 16))
+    rows = [(i, (centres[i % 20] + 0.3 * rng.normal(size=16)).tolist()) for i in range(1_000)] + [(1_000, None), (1_001, [0.0] * 16)]
+    base = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = base.where("vec_id % 20 = 0")
+    exact = {(r.query_id, r.vec_id) for r in vectors.search(asked, base, 5, 0.5).collect()}
+    assert exact == {(r.query_id, r.vec_id) for r in vectors.search(asked, base, 5, 0.5, block=7).collect()} and len(exact) == 250
+    c = vectors.fit_lists(base, 24)
+    vectors.index_vectors(base, c, str(tmp_path / "ix"))
+    assert spark.read.parquet(str(tmp_path / "ix")).count() == 1_001  # every row with a vector
+    got = {(r.query_id, r.vec_id) for r in vectors.search_index(asked, c, str(tmp_path / "ix"), 5, 0.5, probes=4).collect()}
+    assert len(got & exact) >= 0.9 * len(exact) and got <= exact | got
+    assert vectors.search_index(asked.limit(0), c, str(tmp_path / "ix")).count() == 0
+
+
 def test_keep_decisions(spark):
     chunks = spark.createDataFrame([(t, c, n) for t, n in (("one", 1), ("two", 2), ("three", 3), ("free", 1), ("other", 3)) for c in range(n)], "text_id string, chunk_no int, n_chunks int")
     hits = spark.createDataFrame([("one", 0, "d"), ("two", 0, "d"), ("two", 1, "e"), ("three", 0, "d"), ("three", 1, "d"), ("other", 0, "d"), ("other", 1, "f")], "text_id string, chunk_no int, prefix string")

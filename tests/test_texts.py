@@ -90,3 +90,14 @@ def test_long_text(spark):
 
 def test_nfkc_is_the_usual_one(spark):
     assert one(spark, clean.nfkc, "Ⅷ", "ｶﾞ") == [unicodedata.normalize("NFKC", x) for x in ("Ⅷ", "ｶﾞ")]
+
+
+def test_chunk_table_cuts_as_the_column_function(spark):
+    from tarnlake.functions import text
+
+    spark.udtf.register("chunk_table", text.chunk_table())
+    df = spark.createDataFrame([(i, "".join(chr(97 + (i * j) % 26) for j in range(n))) for i, n in enumerate((0, 5, 10, 11, 18, 19, 27, 40))] + [(99, None)], "i int, t string")
+    want = {(r.i, r.n, r.c) for r in df.select("i", F.posexplode(text.chunks(F.col("t"), 10, 2)).alias("n", "c")).collect()}
+    df.createOrReplaceTempView("texts_")
+    got = {(r.i, r.chunk_no, r.chunk) for r in spark.sql("select i, chunk_no, chunk from texts_, lateral chunk_table(t, 10, 2)").collect()}
+    assert got == want
