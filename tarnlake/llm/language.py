@@ -161,13 +161,16 @@ def train_language_model(sample: pd.DataFrame) -> LanguageModel:
 
 #: Words a sentence must have to be judged, a Han character counting half; confidence it must reach.
 LEAST_WORDS, LEAST_CONFIDENCE = 3, 0.6
+#: Confidence that a sentence too short or too doubtful to judge must reach to belong to a foreign one beside it.
+LEAST_BESIDE = 0.4
 PASSAGES = "lang string, confidence double, passages array<struct<lang:string,start:int,end:int,confidence:double>>"
 
 
 def judge(model: LanguageModel, texts: list[str]) -> list[tuple | None]:
     """(language, confidence, passages) of each text; None where it has no words of a known language.
 
-    Passages are runs of sentences in one language; sentences too short or too doubtful to judge join the run they stand in.
+    Passages are runs of sentences in one language; sentences too short or too doubtful to judge join the run they stand in,
+    and count to a foreign one beside them if they speak rather its language than another.
     """
     spans = [sentences(t) for t in texts]
     flat = [t[a:b] for t, ss in zip(texts, spans) for a, b in ss]
@@ -196,13 +199,23 @@ def judge(model: LanguageModel, texts: list[str]) -> list[tuple | None]:
         main = int(share.argmax())
         mean = float((c * w)[ok & (b == main)].sum() / share[main])
         runs: list[list] = []
-        for (s, e), i, p, good in zip(ss, b, c, ok):
+        doubtful: list[tuple] = []  # sentences not sure since the last sure one
+        for (s, e), i, p, good, x in zip(ss, b, c, ok, w):
             if not good:
+                # one that speaks rather the language of the foreign sentence before it belongs to that passage
+                if x and p >= LEAST_BESIDE and runs and i != main and runs[-1][0] == i and not doubtful:
+                    runs[-1][2], runs[-1][3], runs[-1][4] = e, runs[-1][3] + p, runs[-1][4] + 1
+                else:
+                    doubtful.append((i, s, e, p, x))
                 continue
+            before = []
+            while doubtful and i != main and doubtful[-1][0] == i and doubtful[-1][4] and doubtful[-1][3] >= LEAST_BESIDE:
+                before.append(doubtful.pop())
+            doubtful = []
             if runs and runs[-1][0] == i:
-                runs[-1][2], runs[-1][3], runs[-1][4] = e, runs[-1][3] + p, runs[-1][4] + 1
+                runs[-1][2], runs[-1][3], runs[-1][4] = e, runs[-1][3] + p + sum(d[3] for d in before), runs[-1][4] + 1 + len(before)
             else:
-                runs.append([i, s, e, p, 1])
+                runs.append([i, before[-1][1] if before else s, e, p + sum(d[3] for d in before), 1 + len(before)])
         out.append((model.langs[main], mean * float(share[main] / share.sum()) if len(runs) == 1 else mean, [(model.langs[i], s, e, p / m, m) for i, s, e, p, m in runs]))
     return out
 

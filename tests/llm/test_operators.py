@@ -171,6 +171,8 @@ def test_languages(spark, languages):
     assert said == ["en", "zh", "de", "fr", "es", "ru", None, None]
     mixed = "The notes say nothing about it. It took longer than planned. Das Wetter half wenig. Es gab viele Gründe dafür. The end of the story came soon. Nobody had asked for it."
     one = "The notes say nothing about it. It took longer than planned. Das Wetter half wenig. The end of the story came soon."
+    short = "The notes say nothing about it. It took longer than planned. Das Wetter half wenig und der Plan blieb. Ja, genau. The end of the story came soon. Nobody had asked for it."
+    assert [p[0] for p in language.judge(languages, [short])[0][2] if p[4] >= 2] == ["en", "de", "en"]
     got = language.judge(languages, [mixed, one, "", "…"])
     assert [p[0] for p in got[0][2] if p[4] >= 2] == ["en", "de", "en"] and [p[0] for p in got[1][2] if p[4] >= 2] == ["en"] and got[2] is None and got[3] is None
 
