@@ -152,15 +152,26 @@ def annotate(df: DataFrame, steps: dict[str, Callable[[Column], Column]], text:
 
 
 def word_flag(terms: list[str], yes: str, no: str) -> Callable[[Column], Column]:
-    """A default annotator: ``yes`` if a text holds one of ``terms`` as words, else ``no``."""
+    """A default annotator: ``yes`` if a text holds one of ``terms`` as words (Han terms anywhere), else ``no``."""
     import re
 
-    pattern = r"(?iU)\b(?:" + "|".join(map(re.escape, terms)) + r")\b"
+    han = [t for t in terms if "\u4e00" <= t[0] <= "\u9fff"]
+    words = [t for t in terms if t not in han]
+    pattern = "(?iU)" + "|".join([r"\b(?:" + "|".join(map(re.escape, words)) + r")\b"] * bool(words) + list(map(re.escape, han)))
     return lambda c: F.when(c.rlike(pattern), yes).otherwise(no)
 
 
-#: Default of the advertising flag: the words of offers.
-advertising = word_flag(["buy now", "discount", "click here", "click now", "special offer", "subscribe", "promo code", "jetzt klicken", "haz clic"], "ad", "not-ad")
+#: Phrases of offers and calls to buy, by language: what the default of the advertising flag looks for.
+AD_PHRASES = {
+    "en": ["buy now", "discount", "click here", "click now", "special offer", "subscribe", "promo code", "limited time offer", "order now", "order today", "free shipping", "money back guarantee", "call now", "best price", "act now", "sign up today", "coupon", "sponsored"],
+    "zh": ["立即购买", "马上购买", "点击购买", "优惠券", "促销", "特价", "限时抢购", "包邮", "扫码关注", "加微信", "免费领取", "折扣"],
+    "de": ["jetzt klicken", "jetzt kaufen", "jetzt bestellen", "rabatt", "gutschein", "sonderangebot", "kostenloser versand", "nur heute", "geld zurück"],
+    "fr": ["achetez maintenant", "commandez maintenant", "offre spéciale", "code promo", "livraison gratuite", "cliquez ici", "soldes", "réduction immédiate", "satisfait ou remboursé"],
+    "es": ["haz clic", "compra ahora", "compre ahora", "oferta especial", "código promocional", "envío gratis", "descuento", "pide ya", "solo hoy"],
+    "ru": ["купить сейчас", "купите сейчас", "закажите сейчас", "скидка", "скидки", "промокод", "бесплатная доставка", "специальное предложение", "только сегодня", "распродажа"],
+}
+#: Default of the advertising flag.
+advertising = word_flag([p for ps in AD_PHRASES.values() for p in ps], "ad", "not-ad")
 
 
 def load_model(path: str, unpack_to: str | None = None) -> PipelineModel:

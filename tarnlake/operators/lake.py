@@ -100,10 +100,13 @@ def delete_by_title(lines: DataFrame, lake: DataFrame, vectors: DataFrame, title
 
 
 def flat_names(paths: DataFrame, path: str = "path") -> DataFrame:
-    """(path, name) of files copied into one folder: later ones of the same name get _1, _2 ... before the suffix."""
-    base = F.regexp_extract(path, r"([^/]+)$", 1)
-    k = F.row_number().over(Window.partitionBy(base).orderBy(path)) - 1
-    return paths.select(path, F.when(k == 0, base).otherwise(F.concat(F.regexp_replace(base, r"\.[^.]*$", ""), F.lit("_"), k.cast("string"), F.regexp_extract(base, r"(\.[^.]*)$", 1))).alias("name"))
+    """(path, name) of files copied into one folder: later ones of the same name get _1, _2 ... before the suffix.
+
+    However many files bear one name, none gathers them. Paths are unique.
+    """
+    base, k = F.col("_base"), F.col("_k") - 1
+    named = paths.select(path, F.regexp_extract(path, r"([^/]+)$", 1).alias("_base"), F.lit(1).alias("_one"))
+    return running_sum(named, ["_base"], [path], "_one", "_k").select(path, F.when(k == 0, base).otherwise(F.concat(F.regexp_replace(base, r"\.[^.]*$", ""), F.lit("_"), k.cast("string"), F.regexp_extract(base, r"(\.[^.]*)$", 1))).alias("name"))
 
 
 def missing_results(files: DataFrame, folders: DataFrame) -> DataFrame:

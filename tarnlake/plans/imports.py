@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarnlake.functions import clean, models, text, tokenizers
 from tarnlake.operators import chat, imports, lake, packing, pipelines, vectors
 from tarnlake.plans import chats, texts
+from tarnlake.plans.models import AD_PATTERN as _AD_PATTERN
 from tarnlake.plans.texts import _S, STOP_WORDS
 from tarnlake.session import stage, table
 from tarnlake.sources import files
@@ -224,7 +225,7 @@ SQL = {
 '{"n":{"k":[' || n_chars || ',2.5],"l":' || coalesce(cast(to_json(lang) as varchar), 'null') || '},"b":true,"dataset_id":' || dataset_id || ',"source":' || coalesce(cast(to_json(source) as varchar), 'null') || ',"title":' || coalesce(cast(to_json(title) as varchar), 'null') || '}' other from documents""",
     "document_import": f"""with k as ({texts.SQL['keywords_top5']}), five as ({texts.SQL['ngram_repeat_5']}), nine as ({texts.SQL['ngram_repeat_9']}), ids as (select doc_id, printf('%04x%04x%08x', dataset_id, r // 100, r % 100) line_id from (select doc_id, dataset_id, row_number() over (partition by dataset_id order by doc_id) - 1 r from documents))
 select i.line_id, strlen(text) length, case when regexp_matches(text, '[\\x{{4e00}}-\\x{{9fff}}]') then 'zh' else 'other' end as language, case when contains(text, 'court') then 'law' end industry_subject, left(k.keywords, 255) key_word, five.rate fifth_grams, nine.rate ninth_grams,
- case when regexp_matches(text, '(?i)(^|[^\\pL\\pN_])(buy now|discount|click here|click now|special offer|subscribe|promo code|jetzt klicken|haz clic)($|[^\\pL\\pN_])') then 'ad' else 'not-ad' end ad_subjecrt,
+ case when regexp_matches(text, '{_AD_PATTERN}') then 'ad' else 'not-ad' end ad_subjecrt,
  case when contains(left(text, 510), 'a') then 'unsafety' else 'safety' end toxic_subject,
  left('{{' || array_to_string(list_filter([case when source is not null then '"source":' || cast(to_json(source) as varchar) end, '"dataset_id":' || dataset_id], lambda x: x is not null), ',') || '}}', 255) other
 from documents d join ids i using (doc_id) join k using (doc_id) join five using (doc_id) join nine using (doc_id) where text is not null""",

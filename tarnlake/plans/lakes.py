@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.operators import lake, packing, pipelines, vectors
+from tarnlake.operators.lookup import hot_keys, lookup_join
 from tarnlake.session import stage, table
 
 
@@ -91,8 +92,10 @@ def semantic_keep(spark: SparkSession, sf: str) -> DataFrame:
 
     d = table(spark, sf, "documents").where("text is not null").select("doc_id", chunks(F.col("text"), 600, 100).alias("c"))
     c = d.select(F.col("doc_id").alias("text_id"), F.posexplode("c").alias("chunk_no", "chunk"), F.size("c").alias("n_chunks")).withColumn("h", F.md5("chunk"))
-    first = c.groupBy("h").agg(F.min("text_id").alias("prefix"))
-    hits = c.join(first, "h").where("prefix <> text_id").select("text_id", "chunk_no", F.col("prefix").cast("string").alias("prefix"))
+    c = stage(c.drop("chunk"), "chunks")
+    first = stage(c.groupBy("h").agg(F.min("text_id").alias("prefix"), F.count("*").alias("n")).withColumnRenamed("h", "of"), "first")
+    hot = hot_keys(first, "of", "n", c.count())
+    hits = lookup_join(c, first.drop("n"), F.col("h") == F.col("of"), "h", "of", hot, "inner").where("prefix <> text_id").select("text_id", "chunk_no", F.col("prefix").cast("string").alias("prefix"))
     return vectors.keep_decisions(c.select("text_id", "chunk_no", "n_chunks"), hits)
 
 

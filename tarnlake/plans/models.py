@@ -55,6 +55,9 @@ def annotate_ads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _SCORED = "s as (select doc_id, (doc_id * 37 % 101) / 100.0 doc_score, case when n_chars > 800 then 1 else 0 end label from documents)"
+_ADS = [p for ps in models.AD_PHRASES.values() for p in ps]
+AD_PATTERN = r"(?i)(?:(?:^|[^\p{L}\p{N}_])(?:" + "|".join(p for p in _ADS if p[0] < "\u4e00") + r")(?:$|[^\p{L}\p{N}_])|" + "|".join(p for p in _ADS if p[0] >= "\u4e00") + ")"
+
 QUERIES = {f.__name__: f for f in (quality_eval_counts, score_describe, keep_label, ml_tokens, quality_predict, lm_perplexity, annotate_ads)}
 SQL = {
     "quality_eval_counts": f"""with {_SCORED}, c as (select count(*) filter (label = 1 and doc_score > 0.5) + 1 tp, count(*) filter (label <> 1 and doc_score > 0.5) + 1 fp, count(*) filter (label = 1 and doc_score <= 0.5) + 1 fn, count(*) filter (label <> 1 and doc_score <= 0.5) + 1 tn, count(*) filter (label = 1) actual from s),
@@ -62,7 +65,7 @@ p as (select *, tp / (tp + fp) "precision", tp / nullif(actual, 0) recall from c
     "score_describe": f"with {_SCORED}, d as (select cast(doc_score as double) x from s) select count(x) n, round(avg(x), 9) mean, round(stddev_samp(x), 9) std, round(min(x), 9) min, round(quantile_cont(x, 0.25), 9) p25, round(quantile_cont(x, 0.5), 9) p50, round(quantile_cont(x, 0.75), 9) p75, round(max(x), 9) max from d",
     "keep_label": f"with {_SCORED} select doc_id, case when doc_score > 0.5 then 1 else 0 end should_keep from s",
     "ml_tokens": r"select doc_id, case when text = '' then 1 when t = '' then 0 else len(w) end n_words, case when text = '' then '' when t = '' then null else w[1] end first_word from (select doc_id, text, t, string_split_regex(t, '[\t-\r ]') w from (select *, regexp_replace(lower(text), '[\t-\r ]+$', '') t from documents where text is not null))",
-    "annotate_ads": r"select doc_id, case when regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])(buy now|discount|click here|click now|special offer|subscribe|promo code|jetzt klicken|haz clic)($|[^\p{L}\p{N}_])') then 'ad' else 'not-ad' end ad_subject from documents",
+    "annotate_ads": f"select doc_id, case when regexp_matches(text, '{AD_PATTERN}') then 'ad' else 'not-ad' end ad_subject from documents",
     "lm_perplexity": r"""
 with w as (select doc_id, list_concat(list_concat(['<s>'], list_filter(list_transform(regexp_split_to_array(lower(text), '[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda w: regexp_replace(w, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g')), lambda w: w <> '')), ['</s>']) w from documents where text is not null),
 own as (select doc_id, w[i] a, w[i + 1] b, count(*) k from (select doc_id, w, unnest(range(1, len(w))) i from w) group by all),

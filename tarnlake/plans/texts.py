@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.functions import clean, text
 from tarnlake.functions.fixed import OTHER_SPECIAL
+from tarnlake.operators.lookup import HOT_LEAST, hot_keys, lookup_join
 from tarnlake.session import table
 
 #: English stop words for keywords; a parameter of the operator.
@@ -78,7 +79,10 @@ def qa_complexity(spark: SparkSession, sf: str) -> DataFrame:
     """Complexity of each question with each of its answers."""
     m = table(spark, sf, "text_line_sft").where("content is not null").groupBy("line_id").agg(F.max("content").alias("content"), F.max(F.lower(F.trim("frontID"))).alias("front"))
     q = m.select(F.col("line_id").alias("front"), F.col("content").alias("question"))
-    r = m.join(q, "front").select("line_id", text.complexity_qa(F.col("question"), F.col("content")).alias("c"))
+    asked = q.withColumnRenamed("front", "asked")
+    n = m.count()
+    hot = hot_keys(m.groupBy("front").agg(F.count("*").alias("n")), "front", "n", n) if n > HOT_LEAST else []
+    r = lookup_join(m, asked, F.col("front") == F.col("asked"), "front", "asked", hot, "inner").select("line_id", text.complexity_qa(F.col("question"), F.col("content")).alias("c"))
     return r.select("line_id", F.round("c.overall", 6).alias("overall"), F.round("c.term", 6).alias("term"), F.col("c.syntactic").cast("long").alias("syntactic"))
 
 
