@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.operators.lookup import HOT_LEAST, hot_keys, lookup_join
+from tarnlake.operators.packing import running_sum
 from tarnlake.session import Staged, stage
 
 #: Spellings of "no parent", besides null, blank and zeros.
@@ -197,6 +198,28 @@ def _loops(core: DataFrame, far: DataFrame, n: int, fold: Ride | None) -> DataFr
     return on.unionByName(off)
 
 
+#: Numbers added up from the root down.
+SUM = Ride(lambda: F.col("payload").cast("long"), lambda up, low: up + low)
+
+
+def intervals(nodes: DataFrame) -> DataFrame:
+    """``(id, root, enter, exit)`` for ``nodes (id, parent)`` that aren't on or below loops: the descendants of a node are those
+    of the same root whose enter lies behind its own, up to its exit.
+
+    All descendants in one row a node, whatever a tree's shape, where a list or all pairs would grow with depth. A walk
+    through each tree, siblings by id, would meet its nodes in the order of enter, from 0. A node enters one step behind
+    its parent and behind all nodes below its earlier siblings, so the numbers are sums along the ways up; sizes of
+    siblings are added by ``running_sum``, which gathers no family.
+    """
+    nodes = stage(nodes.select("id", "parent"), "nodes")
+    sized = stage(resolve_trees(nodes.withColumn("payload", F.lit(None).cast("string")), with_sizes=True).where("state in ('whole', 'lost')").select("id", "root", "subtree"), "sized")
+    family = nodes.join(sized, "id").where("id <> root").select("id", "parent", "subtree")
+    steps = running_sum(family, ["parent"], ["id"], "subtree", "upto").select("id", (F.col("upto") - F.col("subtree") + 1).cast("string").alias("payload"))
+    whole = nodes.join(steps, "id", "left").select("id", "parent", F.coalesce("payload", F.lit("0")).alias("payload"))
+    placed = resolve_trees(whole, ride=SUM).where("state in ('whole', 'lost')").select("id", F.col("ride").alias("enter"))
+    return sized.join(placed, "id").select("id", "root", "enter", (F.col("enter") + F.col("subtree") - 1).alias("exit"))
+
+
 def descendants(resolved: DataFrame) -> DataFrame:
     """``(ancestor, descendant, distance)`` for every pair of a node and a node below it, from ``resolved`` with paths of ids."""
     n = F.size("path")

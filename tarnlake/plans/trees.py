@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.operators.hierarchy import clean_id, descendants, resolve_trees, tree_nodes
+from tarnlake.operators.hierarchy import clean_id, descendants, intervals, resolve_trees, tree_nodes
 from tarnlake.session import table
 
 
@@ -37,6 +37,12 @@ def p3_descendants(spark: SparkSession, sf: str) -> DataFrame:
     return descendants(r.where("state in ('whole', 'lost')"))
 
 
+def p3_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line's place in a walk through its tree: its descendants are the lines of the tree behind it up to its exit."""
+    r = intervals(_dpo(spark, sf))
+    return r.select(F.col("id").alias("line_id"), F.col("root").alias("root_id"), "enter", "exit")
+
+
 _NODES = r"""
 rows_ as (select lower(trim(line_id)) id, lower(trim(frontID)) f, added_date, "end" e from text_line_dpo),
 named as (select id, added_date, e, case when f is null or f in ('', 'none', 'null', 'nil', 'nan', 'n/a', 'na', 'zero', 'root', '-', '--', '\n', 'undefined') or regexp_full_match(f, '(0x)?0+(\.0+)?') then null else f end p from rows_),
@@ -51,7 +57,7 @@ way as (select id, d, m.top_ top_, m.next_ next_, m.seen seen, list_position(m.s
 """
 _WAY = f"with recursive {_NODES}"
 
-QUERIES = {"p3_found": p3_found, "p3_paths": p3_paths, "p3_descendants": p3_descendants}
+QUERIES = {"p3_found": p3_found, "p3_paths": p3_paths, "p3_descendants": p3_descendants, "p3_intervals": p3_intervals}
 SQL = {
     "p3_found": _WAY + """
 select id line_id,
@@ -67,6 +73,10 @@ select w.id line_id, array_to_string(case when loop_at is null then list_reverse
   case when lower(trim(n.e)) in ('true', '1', 'yes', 't', 'y') then case when q.p is null then 'right' else 'wrong' end
        when lower(trim(n.e)) in ('false', '0', 'no', 'f', 'n') then case when q.p is null then 'wrong' else 'right' end else 'unknown' end end_check
 from way w join nodes n on n.id = w.id left join below b on b.id = w.id left join parents q on q.p = w.id""",
+    "p3_intervals": _WAY + """,
+below as (select u.top_ id, count(*) n from up u join way w on w.id = u.id where w.loop_at is null group by 1),
+walk as (select id, top_, row_number() over (partition by top_ order by list_reverse(seen)) - 1 e from way where loop_at is null)
+select w.id line_id, top_ root_id, e enter, e + b.n - 1 "exit" from walk w join below b using (id)""",
     "p3_descendants": _WAY + """
 select u.top_ ancestor, u.id descendant, u.d distance from up u join way w on w.id = u.id where w.loop_at is null and u.d > 0""",
 }

@@ -2,7 +2,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tarnlake.operators.hierarchy import clean_parent, descendants, resolve_trees, tree_nodes
+from tarnlake.operators.hierarchy import clean_parent, descendants, intervals, resolve_trees, tree_nodes
 from tarnlake.operators.lookup import hot_keys, lookup_join
 
 NODES = "id string, parent string, payload string"
@@ -102,3 +102,12 @@ def test_hot_keys_travel(spark):
     assert hot == ["hot"]
     joined = lookup_join(left, right, F.col("k") == F.col("r"), "k", "r", hot)
     assert joined.count() == 200 and joined.where("v is not null").count() == 151
+
+
+def test_intervals_hold_all_descendants(spark):
+    rows = [("a", None), ("b", "a"), ("c", "b"), ("d", "a"), ("e", "d"), ("f", "d"), ("x", "gone"), ("y", "x"), ("l", "m"), ("m", "l"), ("n", "m"), ("s", None)]
+    df = spark.createDataFrame([(*r, None) for r in rows], NODES)
+    got = {r.id: (r.root, r.enter, r["exit"]) for r in intervals(df).collect()}
+    pairs = {(a, b) for a, (r, e, x) in got.items() for b, (q, f, _) in got.items() if r == q and e < f <= x}
+    assert pairs == {(r.ancestor, r.descendant) for r in descendants(resolve_trees(df, with_paths=True).where("state in ('whole', 'lost')")).collect()}
+    assert got["a"] == ("a", 0, 5) and set(got) == set("abcdefsxy") and intervals(df.limit(0)).count() == 0
