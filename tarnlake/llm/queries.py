@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarnlake.llm.answers import defective_answers
 from tarnlake.llm.conversations import rebuild_conversations
 from tarnlake.llm.encoding import full_repair, restore_garbled, train_char_model
-from tarnlake.llm.language import labelled_sample, languages_of_documents, train_language_model, wrong_labels
+from tarnlake.llm.language import LEAST_CONFIDENCE, labelled_sample, languages_of_documents, train_language_model, wrong_labels
 from tarnlake.llm.leaks import find_leaks
 from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
@@ -101,11 +101,11 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_passages(spark: SparkSession, sf: str) -> DataFrame:
-    """Every passage of every document with its language and confidence."""
+    """Every passage of every document with its language and confidence; ambiguous where either is under the least to be sure."""
     docs = table(spark, sf, "documents")
     some = labelled_sample(docs)
     found = languages_of_documents(docs, train_language_model(some), full_repair(docs))
-    return found.select("line_id", F.col("lang").alias("main_lang"), F.col("confidence").alias("main_confidence"), F.explode_outer("passages").alias("p")).select("line_id", "main_lang", "main_confidence", "p.lang", "p.start", "p.end", "p.confidence")
+    return found.select("line_id", F.col("lang").alias("main_lang"), F.col("confidence").alias("main_confidence"), F.explode_outer("passages").alias("p")).select("line_id", "main_lang", "main_confidence", "p.lang", "p.start", "p.end", "p.confidence", (F.least("main_confidence", "p.confidence") < LEAST_CONFIDENCE).alias("ambiguous"))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
