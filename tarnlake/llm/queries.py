@@ -55,7 +55,7 @@ def p1_composition(spark: SparkSession, sf: str) -> DataFrame:
 
 def _tagger(spark: SparkSession, sf: str):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "review_label")
-    return train_reviewed(judged(docs, labels, False), judged(docs, labels, True))
+    return train_reviewed(judged(docs, labels, False, 4_000), judged(docs, labels, True))
 
 
 def _single_texts(spark: SparkSession, sf: str) -> DataFrame:
