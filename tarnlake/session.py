@@ -10,7 +10,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: list[str] = []
@@ -82,15 +82,16 @@ def shared_dir(spark: SparkSession) -> str:
 class Staged:
     """A DataFrame written once to the shared folder and read back: lineage is cut, and the copy
     survives the loss of executors. ``drop()`` removes it once nothing reads it any more. ``counts`` holds how many
-    rows each of the given conditions is true for, counted while writing."""
+    rows each of the given conditions is true for."""
 
     def __init__(self, df: DataFrame, name: str = "stage", **conditions: Column):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/tarnlake-{name}-{uuid.uuid4().hex[:12]}"
-        seen = Observation() if conditions else None
-        (df.observe(seen, *[F.count_if(c).alias(k) for k, c in conditions.items()]) if seen else df).write.parquet(self.path)
-        self.counts: dict[str, int] = seen.get if seen else {}
+        df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        # counted in what was written, a column or two; an observation of the writing would leave the session one that
+        # machine-learning tasks can't carry
+        self.counts: dict[str, int] = self.df.agg(*[F.count_if(c).alias(k) for k, c in conditions.items()]).first().asDict() if conditions else {}
         atexit.register(self._quietly)
 
     def drop(self) -> None:
