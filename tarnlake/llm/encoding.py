@@ -8,6 +8,7 @@ beats the text as it stands by more than a margin validated on clean records.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.textunits import portions
+from tarnlake.session import stage
 
 DIM, SINGLES = 1 << 20, 1 << 16
 LOST = "�"
@@ -24,6 +26,8 @@ LOST = "�"
 FLOOR, LOSS = -18.0, -12.0
 #: By how much in all the bigrams of a stretch must be below the marks of their scripts.
 SUSPECT = 3.0
+#: By how much the margin is above what clean records gain.
+ABOVE = 0.25
 #: How a text may have been read wrongly, and how it may have been written.
 READ_AS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "cp866", "koi8-r", "iso8859-5", "mac_cyrillic", "cp1250", "iso8859-15", "gb18030", "big5", "cp932", "euc_kr")
 WRITTEN_AS = ("utf-8", "cp1252", "gbk", "big5", "cp1251", "koi8-r", "cp866", "iso8859-5", "mac_roman", "mac_cyrillic", "cp437", "cp850", "cp932")
@@ -100,8 +104,24 @@ class Laid:
     """Texts side by side as code points, a line end before, between and behind them, and their bigrams beyond ASCII."""
 
     def __init__(self, texts: list[str]):
-        self.c = np.frombuffer("\n".join(["", *texts, "", ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self._lay(np.frombuffer("\n".join(["", *texts, "", ""]).encode("utf-32-le", "surrogatepass"), np.uint32), np.fromiter(map(len, texts), np.int64, len(texts)))
+
+    @classmethod
+    def of(cls, lines: str) -> Laid:
+        """The lines of a text, at least one."""
+        c = np.frombuffer(f"\n{lines}\n\n".encode("utf-32-le", "surrogatepass"), np.uint32)
+        out = cls.__new__(cls)
+        out._lay(c, np.diff(np.flatnonzero(c == 10))[:-1] - 1)
+        return out
+
+    def only(self, some: np.ndarray) -> Laid:
+        """Those of the texts that ``some`` is true for."""
+        out = Laid.__new__(Laid)
+        out._lay(self.c[np.concatenate([[True], np.repeat(some, self.sizes + 1), [True]])], self.sizes[some])
+        return out
+
+    def _lay(self, c: np.ndarray, sizes: np.ndarray) -> None:
+        self.c, self.sizes = c, sizes
         self.first = np.cumsum(self.sizes + 1) - self.sizes  # place of each text's first character
         high = self.c > 127
         self.high = np.flatnonzero(high)
@@ -242,13 +262,53 @@ class CharModel:
         s[lost] = LOSS
         return s, script
 
-    def validate(self, texts: list[str], quantile: float = 0.97) -> CharModel:
-        """Raise the margin above what any chain gains anywhere in a record, in all but the few per cent of records that only seem clean."""
-        clean = [t for t, ok in zip(texts, Laid(texts).clean()) if ok] if texts else []
-        gains = [max((self.best(x)[2] for x in dict.fromkeys(_RUN.findall(t))), default=0.0) for t in clean]
-        if len(gains) > 50:
-            self.margin = max(self.margin, float(np.quantile(gains, quantile)) + 0.25)
-        return self
+    def record_gains(self, texts: list[str], known: dict[str, float] | None = None) -> np.ndarray:
+        """Of each clean one of ``texts``: what any chain gains anywhere in it, 0 where that can't raise the margin.
+
+        ``known`` keeps what short stretches gain from one call to the next.
+        """
+        known = {} if known is None else known
+        if len(known) > 200_000:
+            known.clear()
+        floor = self.margin - ABOVE
+        runs = [dict.fromkeys(_RUN.findall(t)) for t, ok in zip(texts, Laid(texts).clean()) if ok] if texts else []
+        new = [r for r in dict.fromkeys(r for rs in runs for r in rs) if r not in known]
+        gain = dict.fromkeys(new, 0.0)
+        for r in self._may_gain(new, floor):
+            g = self.best(r)[2]
+            gain[r] = g if g > floor else 0.0
+        known.update((r, g) for r, g in gain.items() if len(r) <= 64)  # longer ones hardly come again
+        return np.array([max((gain[r] if r in gain else known[r] for r in rs), default=0.0) for rs in runs])
+
+    def _may_gain(self, runs: list[str], floor: float) -> list[str]:
+        """Those of ``runs`` that a chain may gain more than ``floor`` in: all results of a chain are read and scored together."""
+        own, out = self.sums(runs), np.zeros(len(runs), bool)
+        size, any_ = np.array([len(r) for r in runs]), frozenset().union(*(_held(r) for r in READ_AS if r not in WIDE))
+        narrow = [(k, x, c) for k, x in enumerate(runs) if (c := set(x)) <= any_]
+        for r in READ_AS:
+            some = enumerate(runs) if r in WIDE else [(k, x) for k, x, c in narrow if c <= _held(r)]
+            raw = [(k, b) for k, x in some if (b := to_bytes(x, r)) is not None]
+            if not raw:
+                continue
+            numbers, joined = np.array([k for k, _ in raw]), b"\n".join(b for _, b in raw)
+            if LOST.encode() in joined:
+                out[[k for k, b in raw if LOST.encode() in b]] = True
+            for w in BEHIND_WIDE if r in WIDE else WRITTEN_AS:
+                laid = Laid.of(joined.decode(w, "replace"))
+                lost = np.add.reduceat(laid.c == 0xFFFD, laid.first, dtype=np.int64)
+                if w == "utf-8":
+                    out[numbers[lost == 0]] = True  # valid UTF-8
+                few = lost <= 0.3 * laid.sizes + 1
+                if not few.any():
+                    continue
+                at, lost = numbers[few], lost[few]
+                g = self.gains((own[0][at], own[1][at]), self._sums(laid.only(few)))
+                bonus = np.where(lost > 0, -0.5, 0.0) if r in WIDE else 0.0
+                may = (g > 0) & (g + (-3.0 if r in WIDE and w not in MULTI else bonus) > floor)
+                if w not in MULTI:
+                    may &= g * np.minimum(size[at], own[1][at]) >= self.much
+                out[at[may]] = True
+        return [runs[k] for k in np.flatnonzero(out)]
 
     def suspects(self, texts: list[str]) -> dict[int, list[tuple[int, int]]]:
         """By number of text: stretches whose bigrams are together too unlikely for their script, or that look like UTF-8 read wrongly."""
@@ -312,7 +372,10 @@ class CharModel:
     def readings(self, text: str) -> list[tuple[str, tuple, float]]:
         """Every chain's result for ``text``, the chain, and a bonus for valid UTF-8, which chance hardly makes."""
         seen, tried, out = {text}, set(), []
+        kinds = set(text)
         for r in READ_AS:
+            if r not in WIDE and not kinds <= _held(r):
+                continue
             b = to_bytes(text, r)
             if b is None or (b, r in WIDE) in tried:
                 continue  # the same bytes have the same readings
@@ -341,7 +404,9 @@ class CharModel:
 
     def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Of each text: summed log-probability of its scored bigrams, those with the line ends around it included, and their number."""
-        laid = Laid(texts)
+        return self._sums(Laid(texts))
+
+    def _sums(self, laid: Laid) -> tuple[np.ndarray, np.ndarray]:
         total = np.concatenate([[0.0], np.cumsum(self.scores(laid)[0], dtype=np.float64)])
         lo, hi = np.searchsorted(laid.at, laid.first - 1), np.searchsorted(laid.at, laid.first + laid.sizes)
         return total[hi] - total[lo], hi - lo
@@ -460,11 +525,17 @@ def _sloppy(enc: str) -> dict[int, int]:
     return table | {0xFFFD: 255}
 
 
+@lru_cache(maxsize=None)
+def _held(enc: str) -> frozenset[str]:
+    """The characters that a one-byte set holds, as ``to_bytes`` takes them."""
+    return frozenset(chr(c) for c, b in _sloppy(enc).items() if b < 256)
+
+
 def to_bytes(text: str, enc: str) -> bytes | None:
     """``text`` as the bytes it was read from under ``enc``; None where it can't have been. Lost characters become a byte valid nowhere."""
     try:
         if enc in WIDE:
-            b = b"\xff".join(part.encode(enc) for part in text.split(LOST))
+            b = b"\xff".join(part.encode(enc) for part in text.split(LOST)) if LOST in text else text.encode(enc)
             return b if len(b) <= 2 * len(text) else None  # four-byte codes are no reading of anything
         return text.translate(_sloppy(enc)).encode("latin-1")
     except UnicodeEncodeError:
@@ -502,12 +573,11 @@ def _widen(text: str, a: int, b: int) -> tuple[int, int]:
     return a - (0 < a < b and text[a - 1].isascii()), b + (a < b < len(text) and text[b].isascii())
 
 
-def train_char_model(documents: DataFrame, sample: int = 400) -> CharModel:
-    """The model of all clean records among ``documents`` (text), counted where they lie.
+def train_char_model(documents: DataFrame) -> CharModel:
+    """The model of all clean records among ``documents`` (text), counted where they lie, and its margin (see ``validated``).
 
     Each task sends its non-zero counts; after summing there are at most DIM + SINGLES of them, whatever the
-    input. The marks of suspicion come from these counts, the margin from the clean ones of at most ``sample``
-    records, those first by hash, whole.
+    input. The marks of suspicion come from these counts.
     """
 
     def count(batches):
@@ -527,9 +597,48 @@ def train_char_model(documents: DataFrame, sample: int = 400) -> CharModel:
         table[own.k.to_numpy()] = own.n.to_numpy()
         if not part:
             counts.kind[own.k.to_numpy()] = own.kind.to_numpy()
-    first = F.broadcast(marked.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(sample))  # only hashes travel
-    some = marked.join(first, F.xxhash64("text") == F.col("h"), "left_semi").dropDuplicates(["text"]).toPandas()
-    return CharModel(counts).validate(some.text.tolist())
+    return validated(marked, CharModel(counts))
+
+
+def validated(documents: DataFrame, model: CharModel, share: float = 0.03) -> CharModel:
+    """``model`` with its margin ABOVE what any chain gains anywhere in a record, in all but ``share`` of the clean records: those that only seem clean.
+
+    All clean ``documents`` (text) are read. A task sends how many gain how much, as whole numbers that order as the gains
+    do (the bits of a 32-bit float), staged; the gain looked for is found by their upper and then their lower 16 bits, so at most 2^16 sums
+    reach the driver.
+    """
+
+    def gains(batches):
+        known: dict[str, float] = {}
+        n, over = 0, Counter()
+        for b in batches:
+            for part in portions(b.text.tolist(), 1_000_000):
+                g = model.record_gains(part, known)
+                n += len(g)
+                over.update(g[g > 0].astype(np.float32).view(np.int32).tolist())
+                if len(over) > 100_000:
+                    yield pd.DataFrame({"bits": list(over.keys()), "n": list(over.values())})
+                    over.clear()
+        yield pd.DataFrame({"bits": [0, *over.keys()], "n": [n - sum(over.values()), *over.values()]})
+
+    got = stage(documents.mapInPandas(gains, "bits int, n long"), "gains")
+    upper, lower = F.shiftright("bits", 16), F.col("bits").bitwiseAND(0xFFFF)
+    sums = sorted(((r.k, r.n) for r in got.groupBy(upper.alias("k")).agg(F.sum("n").alias("n")).collect()), reverse=True)
+    total = sum(n for _, n in sums)
+    left = int(share * total)  # so many records may gain more
+    if total <= 50:
+        return model
+    for part, n in sums:
+        if n > left:
+            break
+        left -= n
+    if part:  # else the share gains nothing that could raise the margin
+        for low, n in sorted(((r.k, r.n) for r in got.where((upper == part) & (F.col("n") > 0)).groupBy(lower.alias("k")).agg(F.sum("n").alias("n")).collect()), reverse=True):
+            if n > left:
+                break
+            left -= n
+        model.margin = max(model.margin, float(np.array([part << 16 | low], np.int32).view(np.float32)[0]) + ABOVE)
+    return model
 
 
 def full_repair(documents: DataFrame):

@@ -397,3 +397,29 @@ def test_encoding_leaves_sound_text(spark, chars):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "FÃ¼r PrÃ¼fungsbÃ¶gen wurden Ã¼ber 20 schÃ¶ne Beispiele gesammelt."), (4, "caf� na�ve")], "doc_id long, text string")
     assert {r.doc_id for r in encoding.restore_garbled(df, chars).collect()} == {3, 4}
     assert encoding.restore_garbled(df.limit(0), chars).count() == 0
+
+
+def test_margin_comes_from_all_records(spark):
+    """Records that only seem clean count wherever they stand, also behind the first 400 by hash."""
+    calm, odd = "Совет опубликовал отчёт о состоянии дороги и больницы в четверг утром. Номер", "Совет опубликовал"
+    texts = [(f"{calm} {i}.",) for i in range(940)] + [(f"{odd.encode('koi8-r').decode('cp1251')} {i}",) for i in range(1_000)]
+    rows = spark.createDataFrame(texts, "text string").select("text", F.col("text").startswith(calm[:9]).alias("calm")).orderBy(F.xxhash64("text")).collect()
+    last = [r.text for r in rows if not r.calm][-40:]
+    chosen = [r.text for r in rows if r.calm or r.text in last]
+    assert not set(last) & set(chosen[:400])
+    model = encoding.train_char_model(spark.createDataFrame([(t,) for t in chosen], "text string"))
+    clean = [t for t in chosen if encoding.Laid([t]).clean()[0]]
+    each = [max((model.best(x)[2] for x in encoding._RUN.findall(t)), default=0.0) for t in clean]
+    want = sorted(each, reverse=True)[int(0.03 * len(clean))] + encoding.ABOVE
+    assert len(clean) > 950 and want > 1.5 and abs(model.margin - want) < 1e-5
+
+
+def test_gains_of_records_are_those_of_their_stretches(spark):
+    texts = [r.text for r in table(spark, SF, "documents").where("text is not null").select("text").limit(300).collect()]
+    texts += [t.encode("koi8-r").decode("cp1251") for t in ("Позже приезжая комиссия", "Совет опубликовал отчёт")] + ["a\nSÃO", "", "这是干净的文字。"]
+    counts = encoding.Counts()
+    model = encoding.CharModel(counts.add(texts * 3))
+    clean = [t for t, ok in zip(texts, encoding.Laid(texts).clean()) if ok]
+    want = [max((model.best(x)[2] for x in encoding._RUN.findall(t)), default=0.0) for t in clean]
+    want = [g if g > model.margin - encoding.ABOVE else 0.0 for g in want]
+    assert model.record_gains(texts).tolist() == want and max(want) > 0 and model.record_gains([]).tolist() == []
