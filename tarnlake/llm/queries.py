@@ -13,7 +13,7 @@ from tarnlake.llm.leaks import find_leaks
 from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
 from tarnlake.llm.mixing import mix, named_source
-from tarnlake.llm.subjects import judged_texts, learned_terms, subjects_of
+from tarnlake.llm.subjects import judged_rows, learned_terms, subjects_of
 from tarnlake.llm.toxicity import judged, score_texts, spans_udf, train_reviewed
 from tarnlake.operators.hierarchy import clean_id, clean_parent
 from tarnlake.session import table
@@ -34,7 +34,7 @@ def _openings(spark: SparkSession, sf: str) -> DataFrame:
 def _subjects(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("line_id", "text").where("line_id is not null")
     openings, labels = _openings(spark, sf), table(spark, sf, "review_label").select("line_id", "subjects")
-    of_docs, of_openings = judged_texts(docs, labels), judged_texts(openings, labels)
+    of_docs, of_openings = judged_rows(docs, labels), judged_rows(openings, labels)
     terms = learned_terms(of_docs, of_openings)
     found = subjects_of(docs, of_docs, 2, terms, full_repair(docs))
     return found.unionByName(subjects_of(openings, of_openings, 1, terms))

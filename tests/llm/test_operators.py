@@ -423,3 +423,19 @@ def test_gains_of_records_are_those_of_their_stretches(spark):
     want = [max((model.best(x)[2] for x in encoding._RUN.findall(t)), default=0.0) for t in clean]
     want = [g if g > model.margin - encoding.ABOVE else 0.0 for g in want]
     assert model.record_gains(texts).tolist() == want and max(want) > 0 and model.record_gains([]).tolist() == []
+
+
+def test_all_reviewed_texts_teach(spark):
+    """Terms and thresholds come from every reviewed text, however many there are."""
+    music = [(f"m{i:04}", f"The zorblat was quomed by town {i}.", ["music"]) for i in range(5_000)]
+    law = [(f"z{i}", f"A grimbol met the quandler at dawn {i}.", ["law"]) for i in range(60)]
+    df = spark.createDataFrame([(a, t) for a, t, _ in music + law], "line_id string, text string")
+    labels = spark.createDataFrame([(a, y) for a, _, y in music + law] + [("m0000", ["law"]), ("m0000", ["music"])], "line_id string, subjects array<string>")
+    rows = subjects.judged_rows(df, labels)
+    assert rows.count() == 5_060 and {tuple(r.names) for r in rows.where("line_id = 'm0000'").collect()} == {("music",)}
+    taught = [(r.text, set(r.names)) for r in rows.where("not held").collect()]
+    one, all_ = subjects.curated().with_learned(taught), subjects.learned_terms(rows)
+    assert dict(zip(one.terms, map(tuple, one.weights))) == dict(zip(all_.terms, map(tuple, all_.weights)))
+    assert " grimbol " in all_.terms and len(subjects.judged_texts(df, labels)) == 5_060
+    got = {r.line_id: r.subjects for r in subjects.subjects_of(df, rows, 1, all_).collect()}
+    assert got["z7"] == ["law"] and subjects.Thresholds.calibrate(rows.limit(0), all_, np.ones(len(all_.terms), np.float32), 1).density == 0.8
