@@ -8,9 +8,8 @@ codeword with the least summed logistic loss; the share of its rival is the doub
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from functools import lru_cache
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -77,30 +76,16 @@ class LanguageModel:
         return [x % LanguageModel.DIM for x in out]
 
     @classmethod
-    def fit(cls, texts: list[str], labels: list[str], langs: tuple[str, ...] = LANGS, passes: int = 2) -> LanguageModel:
-        """Log-odds from ``texts``; after the first pass texts whose label the model disputes are left out, as labels are dirty."""
-        keep = [(t, y) for t, y in zip(texts, labels) if y in langs and t]
-        words = [Counter(WORD.findall(t.lower())) for t, _ in keep]
-        seeds = [(Counter(WORD.findall(SEED[k].lower())), i) for i, k in enumerate(langs) if k in SEED]
-        used = [True] * len(keep)
-        model = None
-        for _ in range(passes):
-            by_word: dict[str, np.ndarray] = {}
-            for (c, i), ok in zip([*seeds, *((w, langs.index(y)) for w, (_, y) in zip(words, keep))], [*[True] * len(seeds), *used]):
-                if ok:
-                    for w, n in c.items():
-                        by_word.setdefault(w, np.zeros(len(langs), np.float64))[i] += min(n, 5)
-            table = np.zeros((cls.DIM, len(langs)))
-            for w, n in by_word.items():
-                np.add.at(table, cls.grams(w), n)
-            p = (table + 0.02 * table.sum(0) / cls.DIM + 1e-9) / (table.sum(0) + 1e-6)
-            bit = codewords(len(langs)) > 0
-            on = np.stack([p[:, bit[:, b]].mean(1) for b in range(bit.shape[1])], 1)
-            off = np.stack([p[:, ~bit[:, b]].mean(1) for b in range(bit.shape[1])], 1)
-            model = cls(langs, np.clip(np.log(on / off), -6, 6).astype(np.float32))
-            said, _ = model.label([t for t, _ in keep])
-            used = [s == y for s, (_, y) in zip(said, keep)]
-        return model
+    def of_counts(cls, table: np.ndarray, langs: tuple[str, ...] = LANGS) -> LanguageModel:
+        """Log-odds from counts of n-grams (DIM x languages), to which those of the seeds are added."""
+        seeds = GramCounts(len(langs))
+        seeds.add([WORD.findall(SEED[k].lower()) for k in langs if k in SEED], [i for i, k in enumerate(langs) if k in SEED])
+        table = table + seeds.table()
+        p = (table + 0.02 * table.sum(0) / cls.DIM + 1e-9) / (table.sum(0) + 1e-6)
+        bit = codewords(len(langs)) > 0
+        on = np.stack([p[:, bit[:, b]].mean(1) for b in range(bit.shape[1])], 1)
+        off = np.stack([p[:, ~bit[:, b]].mean(1) for b in range(bit.shape[1])], 1)
+        return cls(langs, np.clip(np.log(on / off), -6, 6).astype(np.float32))
 
     def word_row(self, word: str) -> np.ndarray:
         g = self.grams(word)
@@ -108,12 +93,12 @@ class LanguageModel:
 
     def bits(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Summed log-odds by bit and the number of words, of each of ``units``."""
+        return self.bits_of([WORD.findall(u.lower()) for u in units])
+
+    def bits_of(self, units: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``bits``, of units given as their words."""
         rows = _rows(self)
-        words, counts = [], np.zeros(len(units), np.int64)
-        for i, u in enumerate(units):
-            w = WORD.findall(u.lower())
-            counts[i] = len(w)
-            words += w
+        words, counts = list(chain.from_iterable(units)), np.fromiter(map(len, units), np.int64, len(units))
         s = sums(rows.rows, ids, counts) if len(ids := rows.ids(words)) else np.zeros((len(units), rows.width), np.float32)
         return s[:, :-1], s[:, -1]
 
@@ -134,6 +119,39 @@ class LanguageModel:
         return [self.langs[b] if c > floor and n else None for b, c, n in zip(best, conf, words)], conf
 
 
+class GramCounts:
+    """How often n-grams stand in texts of each language: a word counts five times a text at most."""
+
+    def __init__(self, langs: int):
+        self.langs, self.counted = langs, np.zeros((LanguageModel.DIM, langs), np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.words = np.zeros((0, self.langs), np.int64)
+
+    def add(self, texts: list[list[str]], langs: list[int]) -> None:
+        """``texts`` as their words, and the number of the language of each."""
+        words = list(chain.from_iterable(texts))
+        for w in set(words).difference(self.at):
+            self.at[w] = len(self.at)
+        ids = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        key, n = np.unique(np.repeat(np.arange(len(texts)), [len(t) for t in texts]) * len(self.at) + ids if words else ids, return_counts=True)
+        lang, word = np.asarray(langs, np.int64)[key // max(len(self.at), 1)], key % max(len(self.at), 1)
+        grown = np.bincount(word * self.langs + lang, np.minimum(n, 5), len(self.at) * self.langs).astype(np.int64).reshape(-1, self.langs)
+        grown[: len(self.words)] += self.words
+        self.words = grown
+        if len(self.at) > 200_000:
+            self.table()
+
+    def table(self) -> np.ndarray:
+        """The counts so far (DIM x languages)."""
+        for w, i in self.at.items():
+            np.add.at(self.counted, LanguageModel.grams(w), self.words[i])
+        self._forget()
+        return self.counted
+
+
 _TABLES: dict[int, WordRows] = {}
 
 
@@ -145,18 +163,41 @@ def _rows(model: LanguageModel) -> WordRows:
     return _TABLES[model.uid]
 
 
-def labelled_sample(documents: DataFrame, bound: int = 3_000, longest: int = 20_000) -> pd.DataFrame:
-    """(text, lang) of at most ``bound`` ``documents`` (line_id, text, lang) whose declared language is one of the six.
-
-    They are the first by hash of line_id; documents over ``longest`` characters don't enter.
-    """
-    known = documents.select("line_id", "text", named_language(F.col("lang")).alias("lang")).where(F.col("lang").isin(*LANGS) & (F.length("text") <= longest))
-    ids = F.broadcast(known.select("line_id").orderBy(F.xxhash64("line_id"), "line_id").limit(bound))  # ids only: each task sends its first ones
-    return known.join(ids, "line_id", "left_semi").select("text", "lang").toPandas()
-
-
-def train_language_model(sample: pd.DataFrame) -> LanguageModel:
-    return LanguageModel.fit(sample.text.tolist(), sample.lang.tolist())
+def labelled(documents: DataFrame) -> DataFrame:
+    """(text, lang) of all ``documents`` (text, lang) whose declared language is one of the six."""
+    return documents.select("text", named_language(F.col("lang")).alias("lang")).where(F.col("lang").isin(*LANGS) & (F.col("text") != ""))
+
+
+#: What callers knew it by when it took a bounded number.
+labelled_sample = labelled
+
+
+def train_language_model(texts: DataFrame, passes: int = 2) -> LanguageModel:
+    """The model of all ``texts`` (text, lang), counted where they lie; after the first pass texts whose label the model
+    disputes are left out, as labels are dirty. Whatever the input, at most DIM counts a language reach the driver."""
+    model = None
+    for _ in range(passes):
+
+        def count(batches, before=model):
+            counts = GramCounts(len(LANGS))
+            for b in batches:
+                langs, at = [LANGS.index(x) for x in b.lang], 0
+                for part in portions(b.text.tolist()):
+                    words, own, at = [WORD.findall(t.lower()) for t in part], langs[at : at + len(part)], at + len(part)
+                    if before:
+                        bits, n = before.bits_of(words)
+                        ok = (before.decode(bits, n)[0] == own) & (n > 0)
+                        words, own = [w for w, x in zip(words, ok) if x], [y for y, x in zip(own, ok) if x]
+                    counts.add(words, own)
+            table = counts.table().ravel()
+            k = np.flatnonzero(table)
+            yield pd.DataFrame({"k": k.astype(np.int32), "n": table[k]})
+
+        got = texts.select("text", "lang").mapInPandas(count, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+        table = np.zeros(LanguageModel.DIM * len(LANGS))
+        table[got.k.to_numpy()] = got.n.to_numpy()
+        model = LanguageModel.of_counts(table.reshape(-1, len(LANGS)))
+    return model
 
 
 #: Words a sentence must have to be judged, a Han character counting half; confidence it must reach.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarnlake.llm.answers import defective_answers
 from tarnlake.llm.conversations import rebuild_conversations
 from tarnlake.llm.encoding import full_repair, restore_garbled, train_char_model
-from tarnlake.llm.language import LEAST_CONFIDENCE, labelled_sample, languages_of_documents, train_language_model, wrong_labels
+from tarnlake.llm.language import LEAST_CONFIDENCE, labelled, languages_of_documents, train_language_model, wrong_labels
 from tarnlake.llm.leaks import find_leaks
 from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
@@ -95,16 +95,14 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """Missing or wrong language labels of lines and datasets, and documents in several languages."""
     docs = table(spark, sf, "documents")
     messages = table(spark, sf, "text_line_sft").select("dataset_id", "content").unionByName(table(spark, sf, "text_line_dpo").select("dataset_id", "content"))
-    some = labelled_sample(docs)
-    cases, _ = wrong_labels(docs, table(spark, sf, "text_line"), table(spark, sf, "text_meta"), messages, train_language_model(some), full_repair(docs))
+    cases, _ = wrong_labels(docs, table(spark, sf, "text_line"), table(spark, sf, "text_meta"), messages, train_language_model(labelled(docs)), full_repair(docs))
     return cases
 
 
 def p4_passages(spark: SparkSession, sf: str) -> DataFrame:
     """Every passage of every document with its language and confidence; ambiguous where either is under the least to be sure."""
     docs = table(spark, sf, "documents")
-    some = labelled_sample(docs)
-    found = languages_of_documents(docs, train_language_model(some), full_repair(docs))
+    found = languages_of_documents(docs, train_language_model(labelled(docs)), full_repair(docs))
     return found.select("line_id", F.col("lang").alias("main_lang"), F.col("confidence").alias("main_confidence"), F.explode_outer("passages").alias("p")).select("line_id", "main_lang", "main_confidence", "p.lang", "p.start", "p.end", "p.confidence", (F.least("main_confidence", "p.confidence") < LEAST_CONFIDENCE).alias("ambiguous"))
 
 
@@ -114,7 +112,7 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _defects(spark: SparkSession, sf: str) -> DataFrame:
-    languages = train_language_model(labelled_sample(table(spark, sf, "documents")))
+    languages = train_language_model(labelled(table(spark, sf, "documents")))
     return defective_answers(table(spark, sf, "text_line_sft"), languages)
 
 

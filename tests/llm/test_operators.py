@@ -439,3 +439,20 @@ def test_all_reviewed_texts_teach(spark):
     assert " grimbol " in all_.terms and len(subjects.judged_texts(df, labels)) == 5_060
     got = {r.line_id: r.subjects for r in subjects.subjects_of(df, rows, 1, all_).collect()}
     assert got["z7"] == ["law"] and subjects.Thresholds.calibrate(rows.limit(0), all_, np.ones(len(all_.terms), np.float32), 1).density == 0.8
+
+
+def test_language_model_counts_all_texts(spark):
+    """Every labelled text counts, the long ones and those behind the first 3,000 too; a disputed label doesn't."""
+    en = "The notes say nothing about the reason. It took longer than planned."
+    rows = [(f"{i}", "eng", f"{en} Town {i} was quiet.") for i in range(3_300)] + [("x", "de", "Zorblatt quandelt. " * 1_500), ("y", "French", f"{en} Grimbolquax."), ("z", "fr", ""), ("n", "fr", None), ("k", "klingon", "qapla")]
+    df = spark.createDataFrame(rows, "line_id string, lang string, text string")
+    assert language.labelled(df).count() == 3_302
+    model = language.train_language_model(language.labelled(df))
+    used, labels = [r[2] for r in rows[:3_301]], [0] * 3_300 + [2]
+    counts = language.GramCounts(6)
+    for k in range(0, len(used), 1_000):
+        counts.add([language.WORD.findall(t.lower()) for t in used[k : k + 1_000]], labels[k : k + 1_000])
+    assert np.array_equal(model.weights, language.LanguageModel.of_counts(counts.table()).weights)
+    assert model.label(["Zorblatt quandelt"])[0] == ["de"]
+    seeds = language.train_language_model(language.labelled(df.limit(0)))
+    assert seeds.label(["Она сказала, что его уже нет"])[0] == ["ru"]
