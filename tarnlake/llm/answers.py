@@ -101,28 +101,15 @@ def is_refusal(answer: str) -> bool:
 
 
 class EndingModel:
-    """Log-odds that words end and begin sentences, from texts whose sentences are marked; scores endings without a mark."""
+    """Log-odds that words end and begin sentences, from texts whose sentences are marked (``ending_odds``); scores endings without a mark."""
 
     def __init__(self, ends: dict[str, float], begins: dict[str, float], unknown: float):
         self.ends, self.begins, self.unknown = ends, begins, unknown
 
-    @classmethod
-    def fit(cls, texts: list[str]) -> EndingModel:
-        last, first, all_ = Counter(), Counter(), Counter()
-        for t in texts:
-            for s in re.split(r"[.!?。！？\n]+", t):
-                w = WORD.findall(s.lower())
-                if len(w) > 4:
-                    last[w[-1]] += 1
-                    first[w[0]] += 1
-                    all_.update(w)
-        n = max(1, sum(last.values()))
-        rate = n / max(1, sum(all_.values()))
-        odds = lambda c: {w: float(np.log((c[w] + 1) / (all_[w] * rate + 1))) for w in all_ if all_[w] > 4}
-        return cls(odds(last), odds(first), -0.2)
-
     #: Log-odds of breaking off that a long line, or one behind marked sentences, has for lack of a mark at its end.
     UNMARKED = 6.0
+    #: Log-odds that a word without any begins and ends a sentence; what the sum must exceed.
+    NO_BEGIN, NO_END, LIMIT = -1.0, -0.2, 1.0
 
     def breaks_off(self, line: str, bare: bool) -> bool:
         """Whether an unmarked line looks like the beginning of a sentence rather than a whole one or a bare term.
@@ -132,11 +119,51 @@ class EndingModel:
         w = WORD.findall(line.lower())
         if not w:
             return False
-        return self.begins.get(w[0], -1.0) - self.ends.get(w[-1], self.unknown) + (0.0 if bare else self.UNMARKED) > 1.0
+        return self.begins.get(w[0], self.NO_BEGIN) - self.ends.get(w[-1], self.unknown) + (0.0 if bare else self.UNMARKED) > self.LIMIT
+
+
+def ending_odds(texts: DataFrame, least: int = 5) -> DataFrame:
+    """(word, begins, ends): the log-odds of ``EndingModel`` of every word that stands ``least`` times in sentences of over four words.
+
+    All ``texts`` (text) are counted where they lie; the table stays distributed, however many words there are.
+    """
+
+    def count(batches):
+        last, first, all_ = Counter(), Counter(), Counter()
+
+        def counted():
+            return pd.DataFrame({"word": list(all_), "last": [last[w] for w in all_], "first": [first[w] for w in all_], "n": list(all_.values())})
+
+        for b in batches:
+            for t in b.text:
+                for s in re.split(r"[.!?。！？\n]+", t):
+                    w = WORD.findall(s.lower())
+                    if len(w) > 4:
+                        last[w[-1]] += 1
+                        first[w[0]] += 1
+                        all_.update(w)
+            if len(all_) > 200_000:
+                yield counted()
+                for c in (last, first, all_):
+                    c.clear()
+        if all_:
+            yield counted()
+
+    got = texts.select("text").mapInPandas(count, "word string, last long, first long, n long").groupBy("word").agg(*[F.sum(c).alias(c) for c in ("last", "first", "n")])
+    got = stage(got, "words")
+    sums = got.agg(F.sum("last").alias("last"), F.sum("n").alias("n")).first()
+    chance = F.col("n") * (max(1, sums["last"] or 0) / max(1, sums["n"] or 0)) + 1
+    return got.where(F.col("n") >= least).select("word", *[F.log((F.col(c) + 1) / chance).alias(name) for c, name in (("first", "begins"), ("last", "ends"))])
 
 
 def is_truncated(answer: str, model: EndingModel) -> bool:
     """It ends inside a sentence. Lists, bare terms, numbers and code may end without a stop."""
+    open_ = unmarked(answer)
+    return open_ is not None and model.breaks_off(*open_)
+
+
+def unmarked(answer: str) -> tuple[str, bool] | None:
+    """The last line of an answer that may end inside a sentence, and whether it is bare (see ``EndingModel.breaks_off``); None if it can't."""
     t = answer.rstrip()
     while (m := _TAIL.search(t)) and m.start() < len(t):
         inner = t[: m.start()].rstrip()
@@ -147,40 +174,41 @@ def is_truncated(answer: str, model: EndingModel) -> bool:
         if _FACE.fullmatch(closed):
             continue
         if closed and not _ENDS.search(t) and any(c in "\"”’»」』）)]" for c in closed):
-            return False  # a closed quotation or bracket ends the text
+            return None  # a closed quotation or bracket ends the text
     if _ENDS.search(t) or not re.search(r"[^\W_]", t):
-        return False
+        return None
     lines = t.split("\n")
     last = lines[-1].strip()
     if _LIST.match(last) or t.count("```") % 2 or _CODE.search(t[t.rfind("\n\n") + 1 :]):
-        return False  # a list, or code in the last paragraph or an open block of it
+        return None  # a list, or code in the last paragraph or an open block of it
     if re.fullmatch(r"[\d\s.,:%€$£+/*=()-]+\w{0,3}", last):
-        return False
+        return None
     words = WORD.findall(last)
     han = sum(1 for w in words if w >= "㐀" and len(w) == 1)
     alone = len([x for x in lines if x.strip()]) == 1 and not re.search(r"[.!?。！？，,;；]", last)
     bare = alone and last[-1:] not in ",，、;-" and len(words) - han <= 5 and han <= 8
     if bare and han and han == len(words) and han <= 6:
-        return False  # a Chinese term
-    return model.breaks_off(last, bare)
+        return None  # a Chinese term
+    return last, bare
 
 
-def judge_answers(questions: list[str], answers: list[str], languages: LanguageModel, endings: EndingModel) -> list[str | None]:
-    """The defect of each answer that has content, or None."""
+def judge_answers(questions: list[str], answers: list[str], languages: LanguageModel) -> list[tuple[str | None, str | None, str | None, bool]]:
+    """The defect of each answer that has content, or None; of one without that may be truncated, the first and the last word
+    of its last line, and whether that is bare."""
     langs = judge(languages, [*questions, *answers])
     n = len(questions)
-    out: list[str | None] = []
+    out: list[tuple[str | None, str | None, str | None, bool]] = []
     for i, (q, a) in enumerate(zip(questions, answers)):
         if is_copy(q, a):
-            out.append("copy")
+            out.append(("copy", None, None, False))
         elif is_refusal(a):
-            out.append("refusal")
+            out.append(("refusal", None, None, False))
         elif _other_language(q, a, langs[i], langs[n + i]):
-            out.append("other_language")
-        elif is_truncated(a, endings):
-            out.append("truncated")
+            out.append(("other_language", None, None, False))
+        elif (open_ := unmarked(a)) and (w := WORD.findall(open_[0].lower())):
+            out.append((None, w[0], w[-1], open_[1]))
         else:
-            out.append(None)
+            out.append((None, None, None, False))
     return out
 
 
@@ -196,15 +224,15 @@ def _other_language(question: str, answer: str, of_q: tuple | None, of_a: tuple
     return of_a[1] >= 0.6 and of_q[1] >= 0.6 and len(words) - han / 2 >= least
 
 
-def defects_udf(languages: LanguageModel, endings: EndingModel):
-    """Column function: the defect of an answer with content, from (question, answer)."""
-    @F.pandas_udf("string")
-    def run(questions: pd.Series, answers: pd.Series) -> pd.Series:
+def defects_udf(languages: LanguageModel):
+    """Column function: (defect, first, last, bare) of an answer with content, as ``judge_answers`` says, from (question, answer)."""
+    @F.pandas_udf("defect string, first string, last string, bare boolean")
+    def run(questions: pd.Series, answers: pd.Series) -> pd.DataFrame:
         qs, out, at = questions.tolist(), [], 0
         for part in portions(answers.tolist(), 100_000):
-            out += judge_answers(qs[at : at + len(part)], part, languages, endings)
+            out += judge_answers(qs[at : at + len(part)], part, languages)
             at += len(part)
-        return pd.Series(out)
+        return pd.DataFrame(out, columns=["defect", "first", "last", "bare"])
 
     return run
 
@@ -225,15 +253,18 @@ def answer_pairs(messages: DataFrame) -> DataFrame:
     return pairs.select("line_id", "question", F.col("content").alias("answer"), has_content(F.col("content")).alias("answered"))
 
 
-def defective_answers(messages: DataFrame, languages: LanguageModel, bound: int = 4_000) -> DataFrame:
+def defective_answers(messages: DataFrame, languages: LanguageModel) -> DataFrame:
     """(line_id, defect) of every defective answer of ``messages`` (line_id, role, content, frontID, added_date).
 
-    defect: empty, copy, refusal, other_language or truncated, the first that holds. The model of endings is
-    fitted on at most ``bound`` answers, first by hash of line_id. Empty input gives no rows.
+    defect: empty, copy, refusal, other_language or truncated, the first that holds. The odds of endings are
+    counted over all answers; those that may be truncated look up their words in them. Empty input gives no rows.
     """
     pairs = stage(answer_pairs(messages), "pairs")
-    ids = pairs.where("answered and length(answer) <= 4000").select("line_id").orderBy(F.xxhash64("line_id"), "line_id").limit(bound)
-    texts = [r[0] for r in pairs.join(F.broadcast(ids), "line_id", "left_semi").select("answer").collect()]
     empty = pairs.where("not answered").select("line_id", F.lit("empty").alias("defect"))
-    told = pairs.where("answered").select("line_id", defects_udf(languages, EndingModel.fit(texts))("question", "answer").alias("defect"))
-    return empty.unionByName(told.where("defect is not null"))
+    told = pairs.where("answered").select("line_id", defects_udf(languages)("question", "answer").alias("r")).select("line_id", "r.*")
+    told = stage(told.where("defect is not null or first is not null"), "told")
+    odds = ending_odds(pairs.where("answered").select(F.col("answer").alias("text")))
+    open_ = told.where("defect is null").join(odds.select(F.col("word").alias("first"), "begins"), "first", "left").join(odds.select(F.col("word").alias("last"), "ends"), "last", "left")
+    sum_ = F.coalesce("begins", F.lit(EndingModel.NO_BEGIN)) - F.coalesce("ends", F.lit(EndingModel.NO_END)) + F.when(F.col("bare"), 0.0).otherwise(EndingModel.UNMARKED)
+    cut = open_.where(sum_ > EndingModel.LIMIT).select("line_id", F.lit("truncated").alias("defect"))
+    return empty.unionByName(told.where("defect is not null").select("line_id", "defect")).unionByName(cut)

@@ -456,3 +456,20 @@ def test_language_model_counts_all_texts(spark):
     assert model.label(["Zorblatt quandelt"])[0] == ["de"]
     seeds = language.train_language_model(language.labelled(df.limit(0)))
     assert seeds.label(["Она сказала, что его уже нет"])[0] == ["ru"]
+
+
+def test_endings_come_from_all_answers(spark, languages):
+    """Every answer teaches how sentences begin and end: those behind the first 4,000 and those over 4,000 characters too."""
+    texts = [f"Nobody saw the quiet town number {i} yesterday." for i in range(4_200)] + ["Grimbol walked past the old quandelt zorblat. " * 120]
+    odds = {r.word: r for r in answers.ending_odds(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    n = 4_200 * 7 + 120 * 7  # words, the numbers aren't any
+    rate = (4_200 + 120) / n
+    assert abs(odds["zorblat"].ends - np.log(121 / (120 * rate + 1))) < 1e-9 and abs(odds["nobody"].begins - np.log(4_201 / (4_200 * rate + 1))) < 1e-9
+    assert abs(odds["quandelt"].ends - np.log(1 / (120 * rate + 1))) < 1e-9
+    model = answers.EndingModel({w: r.ends for w, r in odds.items()}, {w: r.begins for w, r in odds.items()}, -0.2)
+    q = "Where did they walk, and who saw the quiet town number nine?"
+    said = ["Grimbol walked past the zorblat", "Nobody saw the quiet town", "walked past the zorblat", "Nobody saw", "Grimbol quandelt"]
+    rows = [("q", "user", q, None, None)] + [(f"{i:05}", "gpt", t, "q", None) for i, t in enumerate(texts)] + [(f"s{i}", "gpt", t, "q", None) for i, t in enumerate(said)]
+    got = dict(map(tuple, answers.defective_answers(messages(spark, rows), languages).collect()))
+    assert {k: v for k, v in got.items() if k[0] == "s"} == {f"s{i}": "truncated" for i, t in enumerate(said) if answers.is_truncated(t, model)} and 0 < len(got) < len(said)
+    assert answers.ending_odds(spark.createDataFrame([], "text string")).count() == 0
