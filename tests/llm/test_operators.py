@@ -407,7 +407,9 @@ def test_margin_comes_from_all_records(spark):
     last = [r.text for r in rows if not r.calm][-40:]
     chosen = [r.text for r in rows if r.calm or r.text in last]
     assert not set(last) & set(chosen[:400])
-    model = encoding.train_char_model(spark.createDataFrame([(t,) for t in chosen], "text string"))
+    df = spark.createDataFrame([(t,) for t in chosen], "text string")
+    model = encoding.train_char_model(df)
+    assert encoding.full_repair(df).__self__.margin == model.margin
     clean = [t for t in chosen if encoding.Laid([t]).clean()[0]]
     each = [max((model.best(x)[2] for x in encoding._RUN.findall(t)), default=0.0) for t in clean]
     want = sorted(each, reverse=True)[int(0.03 * len(clean))] + encoding.ABOVE
