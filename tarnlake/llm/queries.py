@@ -14,7 +14,7 @@ from tarnlake.llm.messages import has_content, speaker
 from tarnlake.llm.sql import SQL
 from tarnlake.llm.mixing import mix, named_source
 from tarnlake.llm.subjects import judged_rows, learned_terms, subjects_of
-from tarnlake.llm.toxicity import judged, score_texts, spans_udf, train_reviewed
+from tarnlake.llm.toxicity import score_texts, spans_udf, train_on_reviewed
 from tarnlake.operators.hierarchy import clean_id, clean_parent
 from tarnlake.session import table
 
@@ -54,8 +54,7 @@ def p1_composition(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tagger(spark: SparkSession, sf: str):
-    docs, labels = table(spark, sf, "documents"), table(spark, sf, "review_label")
-    return train_reviewed(judged(docs, labels, False, 4_000), judged(docs, labels, True))
+    return train_on_reviewed(table(spark, sf, "documents"), table(spark, sf, "review_label"))
 
 
 def _single_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,14 +67,14 @@ def _single_texts(spark: SparkSession, sf: str) -> DataFrame:
     return of_docs.unionByName(of_items)
 
 
-def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
-    """(record_id, item_no, origin, score) of every single text."""
-    return score_texts(_single_texts(spark, sf), _tagger(spark, sf), full_repair(table(spark, sf, "documents"))).drop("text")
+def _toxicity(spark: SparkSession, sf: str, least: float = 0.0) -> DataFrame:
+    """(record_id, item_no, origin, score) of every single text; only scores over ``least`` are sure to be exact."""
+    return score_texts(_single_texts(spark, sf), _tagger(spark, sf), full_repair(table(spark, sf, "documents")), least).drop("text")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """Texts that abuse, threaten, degrade a group or depict sex themselves."""
-    return _toxicity(spark, sf).where("score > 0.5").select("record_id", "item_no").distinct()
+    return _toxicity(spark, sf, 0.5).where("score > 0.5").select("record_id", "item_no").distinct()
 
 
 def p2_rates(spark: SparkSession, sf: str) -> DataFrame:

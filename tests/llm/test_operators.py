@@ -109,6 +109,34 @@ def test_reviewed_texts_teach_new_words():
     assert toxicity.train_reviewed([], [], rounds=3).scores([""])[0] == 0
 
 
+def test_all_reviewed_texts_teach(spark):
+    """A harmless wording that sounds like abuse is learned behind any number of other reviewed texts, and no more than that is trained on."""
+    words = [f"{a}{b}{c}" for a in ("mol", "tar", "ven", "sib", "dor", "kel", "pim", "rog", "lat", "zun") for b in "aeiou" for c in ("nd", "rk", "ss", "lt", "mp", "sh", "ft", "gs", "nt", "ck")]
+    plain_ = [f"the {a} {b} was kept beside a {c}." for a, b, c in zip(words * 12, words[7:] * 13, words[91:] * 15)]
+    odd = "you idiot of a pilchard, said the play."
+    calm = sorted(dict.fromkeys(plain_))[:5_500] + [odd]
+    bad = "You mugwart of a glimbor, you idiot mugwart."
+    docs = spark.createDataFrame([(f"{i:05}", t) for i, t in enumerate([*calm, bad])], "line_id string, text string")
+    labels = spark.createDataFrame([(f"{i:05}", int(i == len(calm))) for i in range(len(calm) + 1)] + [("00001", None)], "line_id string, toxic int")
+    trained = []
+    learn = toxicity.train_tagger
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(toxicity, "train_tagger", lambda clean, *a, **k: trained.append((set(clean), list(k.get("flagged", ())))) or learn(clean, *a, **k))
+        model = toxicity.train_on_reviewed(docs, labels, common=20, others=20, rounds=40)
+        lists = toxicity.train_reviewed(calm, [bad], common=20, others=20, rounds=40)
+    assert odd not in trained[0][0] and odd in trained[-1][0] and len(trained[0][0]) == 40
+    for each in (model, lists):
+        left = [t for t in calm if not any(t in clean for clean, _ in trained)]
+        assert len(left) > 100 and each.scores(left).max() <= toxicity.UNSURE  # all others are read, and the tagger is right about them
+        assert each.scores([bad])[0] > 0.5
+
+
+def test_scores_over_the_least_are_exact(tagger):
+    texts = ["The weather did not help. Shut your mouth, you filthy idiot.", "Alle waren da. The ferry was late again!", "Idiot!", "", "kill the process", "you are a bit slow today, idiot or not"]
+    full, some = tagger.scores(texts), tagger.scores(texts, 0.5)
+    assert (some[full > 0.5] == full[full > 0.5]).all() and (some <= full).all() and (some < full).any() and (full > 0.5).any()
+
+
 def test_bound_holds(tagger):
     """No sentence's marginal exceeds what the bound proves."""
     toks = [toxicity.tokens(t) for t in ("The weather did not help", "you may close this window now", "Alle waren da", "x", "kill the process", "you idiot", "idiot")]
