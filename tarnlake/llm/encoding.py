@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -124,23 +124,34 @@ class Laid:
         self.c, self.sizes = c, sizes
         self.first = np.cumsum(self.sizes + 1) - self.sizes  # place of each text's first character
         high = self.c > 127
-        self.high = np.flatnonzero(high)
-        self.low16 = np.minimum(self.c[self.high], 0xFFFF)
         #: Places of the bigrams that touch a character beyond ASCII; only these are counted and scored.
         self.at = np.flatnonzero(high[:-1] | high[1:])
 
+    @cached_property
+    def high(self) -> np.ndarray:
+        """Places of the characters beyond ASCII."""
+        return np.flatnonzero(self.c > 127)
+
+    @cached_property
+    def low16(self) -> np.ndarray:
+        return np.minimum(self.c[self.high], 0xFFFF)
+
     def owner(self, places: np.ndarray) -> np.ndarray:
         """The text that each place lies in; the line end before a text belongs to it."""
         return np.searchsorted(self.first - 1, places, "right") - 1
 
-    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each place in ``at``: hash of the bigram, hash of its second character, script, whether a character is lost."""
+    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each place in ``at``: hash of the bigram, hash of its second character, whether a character is lost."""
         x, y = self.c[self.at], self.c[self.at + 1]
         lost = (x == 0xFFFD) | (y == 0xFFFD)
-        script = np.maximum(_SCRIPT[np.minimum(x, 0xFFFF)], _SCRIPT[np.minimum(y, 0xFFFF)])
-        x, y = (np.where(c < 128, _CLASS[np.minimum(c, 127)], c).astype(np.uint64) for c in (x, y))
-        two = ((x * np.uint64(0x9E3779B1) + y * np.uint64(0x85EBCA77)) >> np.uint64(7)) & np.uint64(DIM - 1)
-        return two.astype(np.int64), second_hash(y), script, lost
+        x, y = (np.where(c < 128, _CLASS[np.minimum(c, 127)], c) for c in (x, y))
+        two = ((x * np.uint32(0x9E3779B1) + y * np.uint32(0x85EBCA77)) >> np.uint32(7)) & np.uint32(DIM - 1)  # of 32 bits, as DIM takes the lower 27
+        return two.astype(np.int64), second_hash(y), lost
+
+    def scripts(self) -> np.ndarray:
+        """Script of the bigram at each place in ``at``."""
+        x, y = self.c[self.at], self.c[self.at + 1]
+        return np.maximum(_SCRIPT[np.minimum(x, 0xFFFF)], _SCRIPT[np.minimum(y, 0xFFFF)])
 
     def looks(self) -> np.ndarray:
         """Numbers of the texts that hold what ``UTF8_LOOK`` finds."""
@@ -171,7 +182,7 @@ class Laid:
 
 
 def second_hash(c: np.ndarray) -> np.ndarray:
-    return (((c.astype(np.uint64) * np.uint64(0x9E3779B1)) >> np.uint64(5)) & np.uint64(SINGLES - 1)).astype(np.int64)
+    return (((c.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(5)) & np.uint32(SINGLES - 1)).astype(np.int64)
 
 
 class Counts:
@@ -183,7 +194,7 @@ class Counts:
 
     def add(self, texts: list[str]) -> Counts:
         laid = Laid(texts)
-        k, g, script, _ = laid.bigrams()
+        (k, g, _), script = laid.bigrams(), laid.scripts()
         on = laid.clean()[laid.owner(laid.at)] if len(texts) else np.zeros(0, bool)
         k, g, script = k[on], g[on], script[on]
         self.two += np.bincount(k, minlength=DIM)
@@ -255,12 +266,12 @@ class CharModel:
     def _of(self, k: np.ndarray, g: np.ndarray) -> np.ndarray:
         return np.maximum(np.maximum(self.logs[k], self.alone[g] - 8.0), FLOOR)
 
-    def scores(self, laid: Laid) -> tuple[np.ndarray, np.ndarray]:
-        """Log-probability and script of the bigrams at ``laid.at``."""
-        k, g, script, lost = laid.bigrams()
+    def scores(self, laid: Laid) -> np.ndarray:
+        """Log-probability of the bigrams at ``laid.at``."""
+        k, g, lost = laid.bigrams()
         s = self._of(k, g)
         s[lost] = LOSS
-        return s, script
+        return s
 
     def record_gains(self, texts: list[str], known: dict[str, float] | None = None) -> np.ndarray:
         """Of each clean one of ``texts``: what any chain gains anywhere in it, 0 where that can't raise the margin.
@@ -302,7 +313,7 @@ class CharModel:
                 if not few.any():
                     continue
                 at, lost = numbers[few], lost[few]
-                g = self.gains((own[0][at], own[1][at]), self._sums(laid.only(few)))
+                g = self.gains((own[0][at], own[1][at]), self._sums(laid if few.all() else laid.only(few)))
                 bonus = np.where(lost > 0, -0.5, 0.0) if r in WIDE else 0.0
                 may = (g > 0) & (g + (-3.0 if r in WIDE and w not in MULTI else bonus) > floor)
                 if w not in MULTI:
@@ -310,9 +321,9 @@ class CharModel:
                 out[at[may]] = True
         return [runs[k] for k in np.flatnonzero(out)]
 
-    def suspects(self, texts: list[str]) -> dict[int, list[tuple[int, int]]]:
+    def suspects(self, texts: list[str], laid: Laid | None = None) -> dict[int, list[tuple[int, int]]]:
         """By number of text: stretches whose bigrams are together too unlikely for their script, or that look like UTF-8 read wrongly."""
-        laid = Laid(texts)
+        laid = laid or Laid(texts)
         if not len(laid.at):
             return {}
         spots = self._weak_spots(laid, texts)
@@ -330,7 +341,7 @@ class CharModel:
         return {k: ss for k, ss in parts.items() if ss}
 
     def _weak_spots(self, laid: Laid, texts: list[str]) -> dict[int, list[tuple[int, int]]]:
-        s, script = self.scores(laid)
+        s, script = self.scores(laid), laid.scripts()
         at, own = laid.at, laid.owner(laid.at)
         inside = at >= laid.first[own]  # not the line end before a text
         gain = np.where(inside, np.minimum(self.weak[script] - s, 6.0), -0.3).astype(np.float64)
@@ -407,7 +418,7 @@ class CharModel:
         return self._sums(Laid(texts))
 
     def _sums(self, laid: Laid) -> tuple[np.ndarray, np.ndarray]:
-        total = np.concatenate([[0.0], np.cumsum(self.scores(laid)[0], dtype=np.float64)])
+        total = np.concatenate([[0.0], np.cumsum(self.scores(laid), dtype=np.float64)])
         lo, hi = np.searchsorted(laid.at, laid.first - 1), np.searchsorted(laid.at, laid.first + laid.sizes)
         return total[hi] - total[lo], hi - lo
 
@@ -456,7 +467,8 @@ class CharModel:
         past: dict[int, set[str]] = {}
         while left:
             numbers = list(left)
-            found = self.suspects([left[k] for k in numbers])
+            found = self.suspects([left[k] for k in numbers], laid)
+            laid = None  # of the texts as given, in the first round
             changed = {}
             for j, spots in found.items():
                 k = numbers[j]

@@ -57,6 +57,9 @@ _MAYBE_SPACED = re.compile(r"[ .*_\n-]\w\w?[ .*_-]{1,3}\w\w?[ .*_-]{1,3}\w\w?[ .
 _HAN = re.compile("[㐀-鿿]")
 #: The token pattern for texts in ASCII, and for those without Han characters: the same tokens, found faster.
 _ASCII_TOKEN, _NO_HAN_TOKEN = re.compile(r"[a-z]+|\"|[.!?\n]+"), re.compile(r"[^\W\d_]+|[“”\"«»„「」]|[.!?…。！？\n]+")
+#: The letters of the lowest plane as ranges, which are found faster than by their properties; the same tokens for texts without higher characters.
+_LETTERS = "".join(f"{m.group()[0]}-{m.group()[-1]}" for m in re.finditer(r"[^\W\d_]+", "".join(map(chr, range(1 << 16)))))
+_LOW_TOKEN = re.compile(_NO_HAN_TOKEN.pattern.replace(r"[^\W\d_]", f"[{_LETTERS}]"))
 
 
 def plain(text: str) -> str:
@@ -74,7 +77,10 @@ def tokens(text: str) -> list[str]:
     text = plain(text)
     if text.isascii():
         return _ASCII_TOKEN.findall(text)
-    return (_lexicon()[0] if _HAN.search(text) else _NO_HAN_TOKEN).findall(text)
+    if _HAN.search(text):
+        return _lexicon()[0].findall(text)
+    low = len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
+    return (_LOW_TOKEN if low else _NO_HAN_TOKEN).findall(text)
 
 
 def is_stop(token: str) -> bool:
@@ -140,7 +146,7 @@ class Tagger:
 
     def marginals(self, e: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Marginal of offending of every token, by forward-backward over all sentences at once."""
-        return forward_backward(e.astype(np.float64), counts, self.trans)[0]
+        return forward_backward(e.astype(np.float64), counts, self.trans, False)[0]
 
     def scores(self, texts: list[str], least: float = 0.0) -> np.ndarray:
         """Score of each text, 0 for one without words.
@@ -200,8 +206,8 @@ def _rows(model: Tagger) -> WordRows:
     return _TABLES[model.uid]
 
 
-def forward_backward(x: np.ndarray, counts: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of label 1 of all tokens, and expected moves (2 x 2) summed over all sentences.
+def forward_backward(x: np.ndarray, counts: np.ndarray, trans: np.ndarray, moving: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of label 1 of all tokens, and expected moves (2 x 2) summed over all sentences (left at zero unless ``moving``).
 
     ``x``: log-odds of label 1 of the tokens, sentence after sentence, ``counts`` of each. Probabilities are scaled to
     sum to one at each place, so none vanishes; sentences are walked together, the longest first.
@@ -234,9 +240,11 @@ def forward_backward(x: np.ndarray, counts: np.ndarray, trans: np.ndarray) -> tu
         if k:
             nxt = b1 * odds[at[:k] + 1]
             c0[:k], c1[:k] = m[0, 0] * b0 + m[0, 1] * nxt, m[1, 0] * b0 + m[1, 1] * nxt
-            h0, h1 = a0[:k], a1[:k]
-            z = h0 * c0[:k] + h1 * c1[:k]
-            moves += [[(h0 * b0 / z).sum() * m[0, 0], (h0 * nxt / z).sum() * m[0, 1]], [(h1 * b0 / z).sum() * m[1, 0], (h1 * nxt / z).sum() * m[1, 1]]]
+            if moving:
+                h0, h1 = a0[:k], a1[:k]
+                z = h0 * c0[:k] + h1 * c1[:k]
+                h0, h1 = h0 / z, h1 / z
+                moves += [[h0 @ b0 * m[0, 0], h0 @ nxt * m[0, 1]], [h1 @ b0 * m[1, 0], h1 @ nxt * m[1, 1]]]
         z = c0 + c1
         b0, b1 = c0 / z, c1 / z
         q = a1 * b1

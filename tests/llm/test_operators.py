@@ -137,6 +137,13 @@ def test_scores_over_the_least_are_exact(tagger):
     assert (some[full > 0.5] == full[full > 0.5]).all() and (some <= full).all() and (some < full).any() and (full > 0.5).any()
 
 
+def test_tokens_by_ranges_of_letters():
+    """The pattern by ranges finds what the one by properties does, and texts with higher characters take the latter."""
+    low = "".join(chr(c) for c in range(0xA0, 1 << 16) if not 0x3400 <= c <= 0x9FFF)
+    for t in (low, " ".join(low), "ärger 𝒳y 𐐷! ende", "é\ud800b"):
+        assert toxicity.tokens(t) == toxicity._NO_HAN_TOKEN.findall(toxicity.plain(t))
+
+
 def test_bound_holds(tagger):
     """No sentence's marginal exceeds what the bound proves."""
     toks = [toxicity.tokens(t) for t in ("The weather did not help", "you may close this window now", "Alle waren da", "x", "kill the process", "you idiot", "idiot")]
