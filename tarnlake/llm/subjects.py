@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -24,7 +25,7 @@ SUBJECTS = tuple(sorted(TERMS))
 #: Weights of terms that other subjects use too, and of terms learned from reviewed texts.
 WEAK, LEARNED = 0.4, 0.7
 _GAP = re.compile(r"[^\w]+|_+")
-_STOP = re.compile(r"[.!?…](?=\s|[A-ZÀ-ÖØ-ÞА-ЯЁ㐀-鿿¿¡«“„])|[。！？\n]")
+_STOP = re.compile(r"[.!?…。！？\n](?:(?<=[。！？\n])|(?=\s|[A-ZÀ-ÖØ-ÞА-ЯЁ㐀-鿿¿¡«“„]))")
 _HAN = re.compile("[㐀-鿿]")
 _HANS = re.compile("[㐀-鿿]+")
 
@@ -166,18 +167,37 @@ def curated() -> Terms:
     return Terms(list(seen), np.stack(list(seen.values())))
 
 
+#: The characters of the lowest plane: those of words and line ends stay, all else becomes a space.
+_FLAT = np.full(1 << 16, 32, np.uint16)
+for _m in re.finditer(r"[^\W_]+", "".join(map(chr, range(1 << 16)))):
+    _FLAT[_m.start() : _m.end()] = np.arange(_m.start(), _m.end())
+_FLAT[10] = 10
+_ASCII_FLAT = bytes(_FLAT[:128].astype(np.uint8)) + bytes(128)
+
+
 def normal(text: str) -> tuple[str, list[int], int]:
     """``text`` in small letters with single spaces for all else, the places where sentences end in it, and its words."""
-    parts, ends, at = [], [], 0
-    for s in _STOP.split(text):
-        flat = _GAP.sub(" ", s.lower()).strip()
-        if flat:
-            parts.append(flat)
-            at += len(flat) + 1
-            ends.append(at)
+    low = "\n".join(parts := _STOP.split(text)).lower()
+    if low.isascii() and "_" not in low:
+        flats = low.encode().translate(_ASCII_FLAT).decode().split("\n")
+    elif "_" in low or "Σ" in text or len(c := low.encode("utf-16-le", "surrogatepass")) > 2 * len(low):
+        # the one is a gap beside other gaps, the other's small letter depends on what follows, the last are in no table
+        flats = None
+    else:
+        flats = _FLAT[np.frombuffer(c, np.uint16)].tobytes().decode("utf-16-le").split("\n")
+    flats = [" ".join(s.split()) for s in flats] if flats else [_GAP.sub(" ", s.lower()).strip() for s in parts]
+    parts = [s for s in flats if s]
+    ends = list(accumulate([len(s) + 1 for s in parts]))
     joined = " " + " ".join(parts) + " "
-    han = len(_HAN.findall(joined)) if not joined.isascii() else 0
-    return joined, ends[:-1], max(1, joined.count(" ") - 1 + han // 2)
+    return joined, ends[:-1], max(1, joined.count(" ") - 1 + _han(joined) // 2)
+
+
+def _han(text: str) -> int:
+    """How many Han characters ``text`` holds."""
+    if text.isascii():
+        return 0
+    c = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
+    return int(np.count_nonzero((c >= 0x3400) & (c < 0xA000)))
 
 
 def term_hits_udf(terms: Terms, repair=None):
@@ -200,18 +220,28 @@ def term_hits_udf(terms: Terms, repair=None):
 
 def features(weights: np.ndarray, terms: np.ndarray, sents: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """(subjects x 3): weight of hits, sentences whose heaviest subject it is, share of those among sentences with hits."""
-    out = np.zeros((len(SUBJECTS), 3), np.float32)
+    return features_of_all(weights, terms, sents, np.array([len(terms)]), rarity)[0]
+
+
+def features_of_all(weights: np.ndarray, terms: np.ndarray, sents: np.ndarray, counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """(texts x subjects x 3): as ``features``, of texts whose hits lie one after the other, ``counts`` of each."""
+    n, width = len(counts), len(SUBJECTS)
+    out = np.zeros((n, width, 3), np.float32)
     if not len(terms):
         return out
-    w = weights[terms] * rarity[terms][:, None]
-    out[:, 0] = w.sum(0)
-    _, row = np.unique(sents, return_inverse=True)
-    grid = np.zeros((row.max() + 1, len(SUBJECTS)), np.float32)
-    np.add.at(grid, row, w)
-    top = grid.argmax(1)
+    text = np.repeat(np.arange(n), counts)
+    key, row = np.unique(text * (int(sents.max()) + 1) + sents, return_inverse=True)
+    hit, subject = np.nonzero(weights[terms])
+    w = weights[terms[hit], subject] * rarity[terms[hit]]
+    weight, grid = np.zeros(n * width, np.float32), np.zeros(len(key) * width, np.float32)
+    np.add.at(weight, text[hit] * width + subject, w)  # hit after hit, as a sum by columns goes
+    np.add.at(grid, row[hit] * width + subject, w)
+    grid = grid.reshape(-1, width)
     strong = grid.max(1) >= 0.5
-    out[:, 1] = np.bincount(top[strong], minlength=len(SUBJECTS))
-    out[:, 2] = out[:, 1] / max(1.0, out[:, 1].sum())
+    owner = key[strong] // (int(sents.max()) + 1)
+    out[:, :, 0] = weight.reshape(n, width)
+    out[:, :, 1] = np.bincount(owner * width + grid.argmax(1)[strong], minlength=n * width).reshape(n, width)
+    out[:, :, 2] = out[:, :, 1] / np.maximum(out[:, :, 1].sum(1, keepdims=True), np.float32(1))
     return out
 
 
@@ -237,7 +267,11 @@ class Thresholds:
         self.density, self.sentences, self.share = density, sentences, share
 
     def passes(self, f: np.ndarray, words: int) -> np.ndarray:
-        return (100 * f[:, 0] / max(words, 8) >= self.density) & (f[:, 1] >= self.sentences) & (f[:, 2] >= self.share)
+        return self.passes_of_all(f[None], np.array([words]))[0]
+
+    def passes_of_all(self, f: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """(texts x subjects), from the features and the number of words of each text."""
+        return (100 * f[:, :, 0] / np.maximum(words, 8).astype(np.float32)[:, None] >= self.density) & (f[:, :, 1] >= self.sentences) & (f[:, :, 2] >= self.share)
 
     @classmethod
     def grid(cls, least_sentences: int) -> list[Thresholds]:
@@ -257,7 +291,8 @@ class Thresholds:
                 if not len(b):
                     continue
                 hits = [terms.hits(t) for t in b.text]
-                fs = np.stack([features(terms.weights, np.array([i for _, i in h], np.int64), np.array([k for k, _ in h], np.int64), rare) for h, _, _ in hits])
+                flat = np.array([x for h, _, _ in hits for x in h], np.int64).reshape(-1, 2)
+                fs = features_of_all(terms.weights, flat[:, 1], flat[:, 0], np.array([len(h) for h, _, _ in hits]), rare)
                 dens = 100 * fs[:, :, 0] / np.maximum(np.array([w for _, _, w in hits]), 8)[:, None]
                 truth = np.array([[s in set(y) for s in SUBJECTS] for y in b.names])
                 got = [(dens >= g.density) & (fs[:, :, 1] >= g.sentences) & (fs[:, :, 2] >= g.share) for g in grid]
@@ -280,13 +315,12 @@ def assign_udf(weights: np.ndarray, rare: np.ndarray, limits: Thresholds):
 
     @F.pandas_udf("array<string>")
     def run(terms: pd.Series, sents: pd.Series, words: pd.Series) -> pd.Series:
-        out = []
-        for t, s, w in zip(terms, sents, words):
-            if t is None or not len(t):
-                out.append([])
-                continue
-            f = features(weights, np.asarray(t, np.int64), np.asarray(s, np.int64), rare)
-            out.append([SUBJECTS[i] for i in np.flatnonzero(limits.passes(f, w))])
+        counts = np.array([0 if t is None else len(t) for t in terms], np.int64)
+        t, s = (np.concatenate([np.zeros(0, np.int64), *(x for x, n in zip(c, counts) if n)]).astype(np.int64) for c in (terms, sents))
+        out: list[list[str]] = [[] for _ in counts]
+        found = limits.passes_of_all(features_of_all(weights, t, s, counts, rare), words.fillna(0).to_numpy()) & (counts > 0)[:, None]
+        for k, i in zip(*(x.tolist() for x in np.nonzero(found))):
+            out[k].append(SUBJECTS[i])
         return pd.Series(out)
 
     return run

@@ -510,3 +510,37 @@ def test_endings_come_from_all_answers(spark, languages):
     got = dict(map(tuple, answers.defective_answers(messages(spark, rows), languages).collect()))
     assert {k: v for k, v in got.items() if k[0] == "s"} == {f"s{i}": "truncated" for i, t in enumerate(said) if answers.is_truncated(t, model)} and 0 < len(got) < len(said)
     assert answers.ending_odds(spark.createDataFrame([], "text string")).count() == 0
+
+
+def test_subject_features_of_many_texts_are_those_of_each():
+    from tarnlake.llm.subjects import SUBJECTS, Thresholds, curated, features, features_of_all
+
+    rng, n = np.random.default_rng(5), len(curated().terms)
+    counts = rng.integers(0, 40, 200)
+    counts[[0, 7, 199]] = 0
+    terms, rare = rng.integers(0, n, counts.sum()), rng.uniform(0.25, 1.5, n).astype(np.float32)
+    sents = np.concatenate([np.sort(rng.integers(0, 9, c)) for c in counts])
+    got = features_of_all(curated().weights, terms, sents, counts, rare)
+    assert got.shape == (200, len(SUBJECTS), 3) and not got[counts == 0].any()
+    for k, (a, c) in enumerate(zip(np.cumsum(counts) - counts, counts)):
+        w = curated().weights[terms[a : a + c]] * rare[terms[a : a + c]][:, None]
+        by_sentence = [w[sents[a : a + c] == x].sum(0) for x in range(9)]
+        heavy = [int(g.argmax()) for g in by_sentence if g.max() >= 0.5]
+        assert np.allclose(got[k, :, 0], w.sum(0)) and got[k, :, 1].tolist() == [heavy.count(i) for i in range(len(SUBJECTS))]
+        assert np.array_equal(got[k], features(curated().weights, terms[a : a + c], sents[a : a + c], rare))
+    words, limits = rng.integers(0, 300, 200), Thresholds()
+    assert [x.tolist() for x in limits.passes_of_all(got, words)] == [limits.passes(f, int(w)).tolist() for f, w in zip(got, words)]
+
+
+def test_normal_text_by_table_is_that_by_pattern():
+    import re
+
+    from tarnlake.llm.subjects import _FLAT, normal
+
+    stop = re.compile(r"[.!?…](?=\s|[A-ZÀ-ÖØ-ÞА-ЯЁ㐀-鿿¿¡«“„])|[。！？\n]")
+    assert [c == 10 or bool(re.match(r"[^\W_]", chr(c))) for c in range(1 << 16)] == [x == c and c != 32 for c, x in enumerate(_FLAT.tolist())]
+    for t in ["", "_", "a_b  _ c. D", "ΑΣ. ΒΣ.Γ", "İstanbul. İ", "a\r\nb\x1cc d\x85e", "x\ud800y. Z", "。。a！b？", "1.2 3. A…B 中文。好", "\n\n", ". . .", "𝐀b. 𠀀 C", "it's é. É!«so»"]:
+        flats = [f for s in stop.split(t) if (f := re.sub(r"[^\w]+|_+", " ", s.lower()).strip())]
+        joined = " " + " ".join(flats) + " "
+        ends = [sum(len(f) + 1 for f in flats[: k + 1]) for k in range(len(flats))][:-1]
+        assert normal(t) == (joined, ends, max(1, joined.count(" ") - 1 + len(re.findall("[㐀-鿿]", joined)) // 2))
