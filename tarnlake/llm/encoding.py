@@ -144,7 +144,9 @@ class Laid:
         """Of each place in ``at``: hash of the bigram, hash of its second character, whether a character is lost."""
         x, y = self.c[self.at], self.c[self.at + 1]
         lost = (x == 0xFFFD) | (y == 0xFFFD)
-        x, y = (np.where(c < 128, _CLASS[np.minimum(c, 127)], c) for c in (x, y))
+        for c in (x, y):
+            low = np.flatnonzero(c < 128)
+            c[low] = _CLASS[c[low]]
         two = ((x * np.uint32(0x9E3779B1) + y * np.uint32(0x85EBCA77)) >> np.uint32(7)) & np.uint32(DIM - 1)  # of 32 bits, as DIM takes the lower 27
         return two.astype(np.int64), second_hash(y), lost
 
@@ -153,6 +155,17 @@ class Laid:
         x, y = self.c[self.at], self.c[self.at + 1]
         return np.maximum(_SCRIPT[np.minimum(x, 0xFFFF)], _SCRIPT[np.minimum(y, 0xFFFF)])
 
+    def runs(self, text: str) -> tuple[list[str], np.ndarray]:
+        """What ``_RUN`` finds in the texts, and the place of each; ``text``: the texts with a line end before and between."""
+        if not len(self.high):
+            return [], self.high
+        new = np.flatnonzero(np.diff(self.high) != 1)
+        a, b = self.high[np.append(0, new + 1)], self.high[np.append(new, len(self.high) - 1)] + 1
+        shown = lambda c: (c >= 32) & (c < 127)
+        free = np.append(True, b[:-1] != a[1:] - 1)  # else the character before belongs to the run before
+        a, b = a - (shown(self.c[a - 1]) & free), b + shown(self.c[b])
+        return [text[i:j] for i, j in zip(a.tolist(), b.tolist())], a
+
     def looks(self) -> np.ndarray:
         """Numbers of the texts that hold what ``UTF8_LOOK`` finds."""
         a, b, c = self.low16, np.minimum(self.c[self.high + 1], 0xFFFF), np.minimum(self.c[self.high + 2], 0xFFFF)
@@ -197,7 +210,7 @@ class Counts:
         (k, g, _), script = laid.bigrams(), laid.scripts()
         on = laid.clean()[laid.owner(laid.at)] if len(texts) else np.zeros(0, bool)
         k, g, script = k[on], g[on], script[on]
-        self.two += np.bincount(k, minlength=DIM)
+        np.add.at(self.two, k, 1)  # few of DIM
         self.one += np.bincount(g, minlength=SINGLES)
         np.maximum.at(self.kind, k, script.astype(np.int32) * SINGLES + g.astype(np.int32))
         return self
@@ -238,6 +251,7 @@ class CharModel:
         self.logs = np.log((counts.two + 0.02) / (n + 1000.0)).astype(np.float32)
         self.alone = np.log((counts.one + 0.02) / (n + 1000.0)).astype(np.float32)
         self.margin, self.least, self.much = margin, least, much
+        self._forget()
         self.weak = np.full(6, -13.0, np.float32)
         self.weak[5] = 0.0
         seen = np.flatnonzero(counts.two)
@@ -249,12 +263,12 @@ class CharModel:
             upto = np.cumsum(often[own])
             if len(own) and upto[-1] > 500:
                 self.weak[k] = s[own[np.searchsorted(upto, share * upto[-1])]]
-        self._forget()
 
     def _forget(self) -> None:
         self._usual: set[str] = set()
         self._unusual: set[str] = set()
         self._known: dict[str, tuple[str, tuple | None, float]] = {}
+        self._least = np.maximum(self.alone - np.float32(8.0), np.float32(FLOOR))  # of a bigram, by its second character
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k[0] != "_"}
@@ -264,7 +278,7 @@ class CharModel:
         self._forget()
 
     def _of(self, k: np.ndarray, g: np.ndarray) -> np.ndarray:
-        return np.maximum(np.maximum(self.logs[k], self.alone[g] - 8.0), FLOOR)
+        return np.maximum(self.logs[k], self._least[g])
 
     def scores(self, laid: Laid) -> np.ndarray:
         """Log-probability of the bigrams at ``laid.at``."""
@@ -282,28 +296,40 @@ class CharModel:
         if len(known) > 200_000:
             known.clear()
         floor = self.margin - ABOVE
-        runs = [dict.fromkeys(_RUN.findall(t)) for t, ok in zip(texts, Laid(texts).clean()) if ok] if texts else []
-        new = [r for r in dict.fromkeys(r for rs in runs for r in rs) if r not in known]
+        laid = Laid(texts)
+        clean = laid.clean() if texts else np.zeros(0, bool)
+        runs, places = laid.runs("\n".join(["", *texts]))
+        owner = laid.owner(places)
+        if not clean.all():
+            runs, owner = [r for r, ok in zip(runs, clean[owner].tolist()) if ok], owner[clean[owner]]
+        new = [r for r in dict.fromkeys(runs) if r not in known]
         gain = dict.fromkeys(new, 0.0)
         for r in self._may_gain(new, floor):
             g = self.best(r)[2]
             gain[r] = g if g > floor else 0.0
+        out = np.zeros(len(texts))
+        np.maximum.at(out, owner, [gain[r] if r in gain else known[r] for r in runs])
         known.update((r, g) for r, g in gain.items() if len(r) <= 64)  # longer ones hardly come again
-        return np.array([max((gain[r] if r in gain else known[r] for r in rs), default=0.0) for rs in runs])
+        return out[clean]
 
     def _may_gain(self, runs: list[str], floor: float) -> list[str]:
         """Those of ``runs`` that a chain may gain more than ``floor`` in: all results of a chain are read and scored together."""
-        own, out = self.sums(runs), np.zeros(len(runs), bool)
-        size, any_ = np.array([len(r) for r in runs]), frozenset().union(*(_held(r) for r in READ_AS if r not in WIDE))
-        narrow = [(k, x, c) for k, x in enumerate(runs) if (c := set(x)) <= any_]
+        if not runs:
+            return []
+        whole = Laid(runs)
+        own, out, size = self._sums(whole), np.zeros(len(runs), bool), whole.sizes
+        held = np.bitwise_and.reduceat(_HELD[np.minimum(whole.c[1:-1], 0xFFFF)], whole.first - 1)
         for r in READ_AS:
-            some = enumerate(runs) if r in WIDE else [(k, x) for k, x, c in narrow if c <= _held(r)]
-            raw = [(k, b) for k, x in some if (b := to_bytes(x, r)) is not None]
-            if not raw:
+            if r in WIDE:
+                raw = [to_bytes(x, r) for x in runs]
+                numbers, joined = np.flatnonzero([b is not None for b in raw]), b"\n".join([b for b in raw if b is not None])
+            else:
+                numbers = np.flatnonzero(held & (1 << READ_AS.index(r)))
+                joined = to_bytes("\n".join([runs[k] for k in numbers.tolist()]), r)
+            if not len(numbers):
                 continue
-            numbers, joined = np.array([k for k, _ in raw]), b"\n".join(b for _, b in raw)
             if LOST.encode() in joined:
-                out[[k for k, b in raw if LOST.encode() in b]] = True
+                out[numbers[[LOST.encode() in b for b in joined.split(b"\n")]]] = True
             for w in BEHIND_WIDE if r in WIDE else WRITTEN_AS:
                 laid = Laid.of(joined.decode(w, "replace"))
                 lost = np.add.reduceat(laid.c == 0xFFFD, laid.first, dtype=np.int64)
@@ -554,6 +580,18 @@ def to_bytes(text: str, enc: str) -> bytes | None:
         return None
 
 
+def _held_by() -> np.ndarray:
+    """Of each character: the one-byte sets of ``READ_AS`` that hold it, as bits by place there; a line end is in all."""
+    out = np.zeros(1 << 16, np.uint16)
+    for k, r in enumerate(READ_AS):
+        if r not in WIDE:
+            out[[ord(c) for c in _held(r) if c < "\uffff"]] |= np.uint16(1 << k)
+    return out
+
+
+_HELD = _held_by()
+
+
 def from_bytes(b: bytes, enc: str, lost: bool = False) -> tuple[str, bool]:
     """``b`` decoded, and whether nothing was lost. ``lost``: the byte 255 stands for lost characters, which stay lost."""
     if lost and enc not in MULTI:
@@ -565,22 +603,20 @@ def from_bytes(b: bytes, enc: str, lost: bool = False) -> tuple[str, bool]:
 
 
 #: A character beyond ASCII that is no Han character, nor of the signs between and of full width.
-_OTHER = re.compile("[^\x00-\x7f　-鿿＀-\uffef]").match
+_OTHER = re.compile("[^\x00-\x7f　-鿿＀-\uffef]*").match
 
 
 def _widen(text: str, a: int, b: int) -> tuple[int, int]:
     """A stretch grown over the characters beyond ASCII that adjoin it and are not Han, and cut of ASCII at its ends."""
-    other = _OTHER
     while a < b and text[a] < "\x80":
         a += 1
     while b > a and text[b - 1] < "\x80":
         b -= 1
-    if a < b and other(text[a]):
-        while a > 0 and other(text[a - 1]):
-            a -= 1
-    if a < b and other(text[b - 1]):
-        while b < len(text) and other(text[b]):
-            b += 1
+    if a < b and _OTHER(text[a]).end():
+        while a > 0 and (n := _OTHER(text[max(a - 32, 0) : a][::-1]).end()):
+            a -= n
+    if a < b and _OTHER(text[b - 1]).end():
+        b = _OTHER(text, b).end()
     # one ASCII character on either side is context that no chain changes
     return a - (0 < a < b and text[a - 1].isascii()), b + (a < b < len(text) and text[b].isascii())
 

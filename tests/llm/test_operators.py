@@ -544,3 +544,24 @@ def test_normal_text_by_table_is_that_by_pattern():
         joined = " " + " ".join(flats) + " "
         ends = [sum(len(f) + 1 for f in flats[: k + 1]) for k in range(len(flats))][:-1]
         assert normal(t) == (joined, ends, max(1, joined.count(" ") - 1 + len(re.findall("[㐀-鿿]", joined)) // 2))
+
+
+def test_stretches_beyond_ascii_by_places_are_those_of_the_pattern():
+    texts = ["", "é é", "aé", "é", "\né\nЖ x", "a\x7fé\x1fb", "~é~é ~é", "\U0001f600 é", "plain", "中文a中 文", "\ud800é"]
+    laid = encoding.Laid(texts)
+    runs, places = laid.runs("\n".join(["", *texts]))
+    assert list(zip(laid.owner(places).tolist(), runs)) == [(k, r) for k, t in enumerate(texts) for r in encoding._RUN.findall(t)]
+
+
+def test_sets_that_hold_a_character():
+    for k, r in enumerate(encoding.READ_AS):
+        if r not in encoding.WIDE:
+            assert [bool(x >> k & 1) for x in encoding._HELD.tolist()] == [chr(c) in encoding._held(r) for c in range(1 << 16)]
+
+
+def test_widened_stretches_end_where_others_do():
+    for n in (0, 1, 31, 32, 33, 200):
+        text = "ab " + "é" * n + "Ж中" + "ß" * n + " cd"
+        at = text.index("Ж")
+        assert encoding._widen(text, at, at + 1) == (2, at + 1)
+        assert encoding._widen("x" + "é" * n + "!", 1, 1 + min(n, 1)) == ((0, n + 2) if n else (1, 1))
