@@ -10,15 +10,16 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.language import NAMES, LanguageModel, judge
+from tarnlake.llm.language import NAMES, LanguageModel, judge_whole
 from tarnlake.llm.messages import has_content, speaker
-from tarnlake.llm.textunits import WORD, portions, sentences
+from tarnlake.llm.textunits import WORD, portions, sentences, words
 from tarnlake.operators.hierarchy import clean_id, clean_parent
 from tarnlake.operators.lookup import hot_keys, lookup_join
 from tarnlake.session import stage
@@ -42,6 +43,78 @@ DECLINED = {
 }
 _DECLINE = re.compile("|".join(DECLINE.values()), re.I)
 _DECLINED = re.compile("|".join(DECLINED.values()), re.I)
+
+
+def _all_of(item, most: int = 200) -> set[str] | None:
+    """Everything that a parsed item of a pattern (or a list of them) matches, None where that is no short list."""
+    if not isinstance(item, tuple):
+        out = {""}
+        for x in item:
+            own = _all_of(x, most)
+            if own is None or len(out) * len(own) > most:
+                return None
+            out = {a + b for a in out for b in own}
+        return out
+    op, arg = str(item[0]), item[1]
+    if op == "LITERAL":
+        return {chr(arg).lower()}
+    if op == "AT":
+        return {""}
+    if op == "IN" and all(str(x) == "LITERAL" for x, _ in arg):
+        return {chr(c).lower() for _, c in arg}
+    if op == "SUBPATTERN":
+        return _all_of(arg[3], most)
+    if op == "BRANCH":
+        every = [_all_of(x, most) for x in arg[1]]
+        return None if None in every else set().union(*every)
+    if op == "MAX_REPEAT" and arg[1] == 1 and (own := _all_of(arg[2], most)) is not None:
+        return own if arg[0] else own | {""}
+    return None
+
+
+def anchors(items) -> set[str]:
+    """Strings in small letters of which every match of the parsed pattern ``items`` holds one; of several such sets that with the longest."""
+    best, run = {""}, {""}
+
+    def better(a: set[str], b: set[str]) -> set[str]:
+        return a if min(map(len, a)) >= min(map(len, b)) else b
+
+    for item in items:
+        own = _all_of(item)
+        if own is not None and len(run) * len(own) <= 200:
+            run = {a + b for a in run for b in own}
+            continue
+        best, run = better(best, run), {""}
+        op, arg = str(item[0]), item[1]
+        if op == "BRANCH":
+            best = better(best, set().union(*map(anchors, arg[1])))
+        elif op == "SUBPATTERN":
+            best = better(best, anchors(arg[3]))
+        elif own is not None:
+            run = own
+    return better(best, run)
+
+
+class Anchored:
+    """A pattern of any case, searched only in texts that hold one of the strings without which it can't match."""
+
+    def __init__(self, pattern: str):
+        self.pattern, self.automaton = re.compile(pattern, re.I), ahocorasick.Automaton()
+        for a in anchors(re._parser.parse(pattern)):
+            self.automaton.add_word(a, a)
+        self.automaton.make_automaton()
+        own = set("".join(self.automaton))
+        #: Characters that the pattern takes for its own, but that have other small letters.
+        odd = "".join(c for c in map(chr, range(0x80, 1 << 16)) if c.lower() not in own)
+        self.odd = re.compile("[" + "".join(re.findall("[" + re.escape("".join(sorted(own))) + "]", odd, re.I)) + "\uffff]")
+
+    def search(self, text: str) -> re.Match | None:
+        if next(self.automaton.iter(text.lower()), None) is None and (text.isascii() or not self.odd.search(text)):
+            return None
+        return self.pattern.search(text)
+
+
+_DECLINES = Anchored("|".join(DECLINE.values()))
 #: Requests for a translation.
 TRANSLATE = re.compile(r"translat|übersetz|tradui|traduc|traduz|перевед|перевод|перевести|翻译|翻譯|译成|译为|in die sprache|dans la langue|al idioma|на язык", re.I)
 _NAMED = {k: re.compile("|".join(rf"\b{re.escape(n)}" if n.isascii() or n[0] < "㐀" else re.escape(n) for n in names if len(n) > 3 or n[0] >= "㐀"), re.I) for k, names in NAMES.items()}
@@ -88,7 +161,7 @@ def is_refusal(answer: str) -> bool:
     Sentences behind the opening that speak of declining or of what was asked belong to the refusal, however many there
     are; it is none if those that don't are the greater part of what follows and make up an answer of their own.
     """
-    if not _DECLINE.search(answer) or not _DECLINED.search(answer):
+    if not _DECLINES.search(answer) or not _DECLINED.search(answer):
         return False
     parts = [answer[a:b] for a, b in sentences(answer)]
     opening = " ".join(parts[:OPENING])
@@ -137,7 +210,7 @@ def ending_odds(texts: DataFrame, least: int = 5) -> DataFrame:
         for b in batches:
             for t in b.text:
                 for s in re.split(r"[.!?。！？\n]+", t):
-                    w = WORD.findall(s.lower())
+                    w = words(s.lower())
                     if len(w) > 4:
                         last[w[-1]] += 1
                         first[w[0]] += 1
@@ -195,15 +268,15 @@ def unmarked(answer: str) -> tuple[str, bool] | None:
 def judge_answers(questions: list[str], answers: list[str], languages: LanguageModel) -> list[tuple[str | None, str | None, str | None, bool]]:
     """The defect of each answer that has content, or None; of one without that may be truncated, the first and the last word
     of its last line, and whether that is bare."""
-    langs = judge(languages, [*questions, *answers])
-    n = len(questions)
+    each = list(dict.fromkeys([*questions, *answers]))
+    langs = dict(zip(each, judge_whole(languages, each)))
     out: list[tuple[str | None, str | None, str | None, bool]] = []
-    for i, (q, a) in enumerate(zip(questions, answers)):
+    for q, a in zip(questions, answers):
         if is_copy(q, a):
             out.append(("copy", None, None, False))
         elif is_refusal(a):
             out.append(("refusal", None, None, False))
-        elif _other_language(q, a, langs[i], langs[n + i]):
+        elif _other_language(q, a, langs[q], langs[a]):
             out.append(("other_language", None, None, False))
         elif (open_ := unmarked(a)) and (w := WORD.findall(open_[0].lower())):
             out.append((None, w[0], w[-1], open_[1]))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.textunits import WORD, WordRows, portions, sentences, sums
+from tarnlake.llm.textunits import words as words_of
 
 LANGS = ("en", "zh", "de", "fr", "es", "ru")
 #: Names and codes by which providers call the six languages, without case and region.
@@ -93,7 +94,7 @@ class LanguageModel:
 
     def bits(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Summed log-odds by bit and the number of words, of each of ``units``."""
-        return self.bits_of([WORD.findall(u.lower()) for u in units])
+        return self.bits_of([words_of(u.lower()) for u in units])
 
     def bits_of(self, units: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """As ``bits``, of units given as their words."""
@@ -183,7 +184,7 @@ def train_language_model(texts: DataFrame, passes: int = 2) -> LanguageModel:
             for b in batches:
                 langs, at = [LANGS.index(x) for x in b.lang], 0
                 for part in portions(b.text.tolist()):
-                    words, own, at = [WORD.findall(t.lower()) for t in part], langs[at : at + len(part)], at + len(part)
+                    words, own, at = [words_of(t.lower()) for t in part], langs[at : at + len(part)], at + len(part)
                     if before:
                         bits, n = before.bits_of(words)
                         ok = (before.decode(bits, n)[0] == own) & (n > 0)
@@ -213,15 +214,9 @@ def judge(model: LanguageModel, texts: list[str]) -> list[tuple | None]:
     Passages are runs of sentences in one language; sentences too short or too doubtful to judge join the run they stand in,
     and count to a foreign one beside them if they speak rather its language than another.
     """
-    spans = [sentences(t) for t in texts]
-    flat = [t[a:b] for t, ss in zip(texts, spans) for a, b in ss]
-    if not flat:
+    spans, (bits, words, best, conf, weight, sure) = _sentences_judged(model, texts)
+    if not len(best):
         return [None] * len(texts)
-    bits, words = model.bits(flat)
-    best, conf = model.decode(bits, words)
-    zh = model.langs.index("zh") if "zh" in model.langs else -1
-    weight = np.where(best == zh, words / 2, words)
-    sure = (weight >= LEAST_WORDS) & (conf >= LEAST_CONFIDENCE)
     # a text without a sure sentence is judged as a whole
     out, k = [], 0
     for t, ss in zip(texts, spans):
@@ -261,6 +256,46 @@ def judge(model: LanguageModel, texts: list[str]) -> list[tuple | None]:
     return out
 
 
+def _sentences_judged(model: LanguageModel, texts: list[str]) -> tuple[list[list[tuple[int, int]]], tuple]:
+    """The sentences of each text; of all of them bits, words, the nearest language, its confidence, their weight, whether they are sure."""
+    spans = [sentences(t) for t in texts]
+    flat = [t[a:b] for t, ss in zip(texts, spans) for a, b in ss]
+    if not flat:
+        return spans, (np.zeros(0),) * 6
+    bits, words = model.bits(flat)
+    best, conf = model.decode(bits, words)
+    zh = model.langs.index("zh") if "zh" in model.langs else -1
+    weight = np.where(best == zh, words / 2, words)
+    return spans, (bits, words, best, conf, weight, (weight >= LEAST_WORDS) & (conf >= LEAST_CONFIDENCE))
+
+
+def judge_whole(model: LanguageModel, texts: list[str]) -> list[tuple[str, float] | None]:
+    """Language and confidence of each text as ``judge`` gives them, without passages."""
+    spans, (bits, words, best, conf, weight, sure) = _sentences_judged(model, texts)
+    out: list[tuple[str, float] | None] = [None] * len(texts)
+    if not len(best):
+        return out
+    n, width = np.fromiter(map(len, spans), np.int64, len(texts)), len(model.langs)
+    owner, first = np.repeat(np.arange(len(texts)), n), np.cumsum(n) - n
+    share = np.bincount(owner * width + best, np.where(sure, weight, 0), len(texts) * width).reshape(-1, width)
+    main = share.argmax(1)
+    at = np.flatnonzero(sure & (best == main[owner]))
+    if len(at):
+        own, each = owner[at], conf[at] * weight[at]
+        new = np.flatnonzero(np.append(True, own[1:] != own[:-1])).tolist()
+        for i, j in zip(new, [*new[1:], len(at)]):
+            k = own[i]
+            out[k] = model.langs[main[k]], float((each[i] if j == i + 1 else each[i:j].sum()) / share[k, main[k]])
+    # a text without a sure sentence is judged as a whole
+    total = np.bincount(owner, words, len(texts))
+    rest = [k for k in np.flatnonzero(total > 0).tolist() if out[k] is None]
+    if rest:
+        summed = np.stack([bits[first[k] : first[k] + n[k]].sum(0) for k in rest]), total[rest].astype(words.dtype)
+        for k, i, p in zip(rest, *model.decode(*summed)):
+            out[k] = model.langs[i], float(p)
+    return out
+
+
 def label_udf(model: LanguageModel):
     """Column function: (lang, confidence) of a text as a whole; null for null and for texts without words."""
 

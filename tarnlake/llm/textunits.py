@@ -13,6 +13,17 @@ SENTENCE = re.compile(r"[^\n]+?(?:[。！？]+[”’」』）\"]*|[.!?…]+[”
 #: Words of alphabetic scripts, Han characters singly.
 WORD = re.compile(r"[㐀-鿿]|[^\W\d_㐀-鿿]+")
 
+#: The same for texts in ASCII, and, with letters as ranges, for those of the lowest plane: found faster.
+_ASCII_WORD = re.compile("[A-Za-z]+")
+_LOW_WORD = re.compile("[㐀-鿿]|[" + "".join(f"{m.group()[0]}-{m.group()[-1]}" for m in re.finditer(r"[^\W\d_㐀-鿿]+", "".join(map(chr, range(1 << 16))))) + "]+")
+
+
+def words(text: str) -> list[str]:
+    """What ``WORD`` finds in ``text``."""
+    if text.isascii():
+        return _ASCII_WORD.findall(text)
+    return (_LOW_WORD if len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text) else WORD).findall(text)
+
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Start and end of each sentence of ``text``."""

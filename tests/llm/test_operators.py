@@ -565,3 +565,27 @@ def test_widened_stretches_end_where_others_do():
         at = text.index("Ж")
         assert encoding._widen(text, at, at + 1) == (2, at + 1)
         assert encoding._widen("x" + "é" * n + "!", 1, 1 + min(n, 1)) == ((0, n + 2) if n else (1, 1))
+
+
+def test_whole_texts_are_judged_as_with_passages(languages):
+    texts = ["", "12 !", "?", "The cat sat on the mat. Il fait beau aujourd'hui et nous partons. They went home after that.", "ok", "Это так. 我们今天去看电影。", "a. b. c."] + list(language.SEED.values())
+    texts += [" ".join(texts[i:j]) for i in range(len(texts)) for j in range(i, len(texts))]
+    assert language.judge_whole(languages, texts) == [x and x[:2] for x in language.judge(languages, texts)]
+    assert language.judge_whole(languages, ["", "1"]) == [None, None] and language.judge_whole(languages, []) == []
+
+
+def test_anchors_lose_no_refusal():
+    import re
+
+    texts = ["I can't help with that.", "İ cannot", "ı cannot answer", "as an aİ", "As an AI", "ſin comentarios", "Ich kann dazu leider nicht", "je ne peux pas", "JE NE PEUX PAS", "ОТКАЗЫВАЮСЬ", "\u1c80ынужден отказать", "作为一个AI模型", "nothing", "", "Me niego", "i am now unable"]
+    for t in texts + [x.upper() for x in texts] + [x.title() for x in texts]:
+        assert bool(answers._DECLINES.search(t)) == bool(answers._DECLINE.search(t)), t
+    for p, some in ((r"\bab?(?:c|de)\w+fgh", {"fgh"}), (r"x*(?:no|yes)?", {""}), (r"(?:one|t[wo]o) [^.]{2}z", {"one ", "two ", "too "})):
+        assert answers.anchors(re._parser.parse(p)) == some
+
+
+def test_words_by_ranges_of_letters():
+    from tarnlake.llm.textunits import WORD, words
+
+    texts = ["It's 5 o'clock_no", "Straße über 中文字 x²", "Это 3", "𝐀b c𠀀", "\ud800é a", ""] + [f"a{chr(c)}b {chr(c)}" for c in range(1 << 16)]
+    assert all(words(t) == WORD.findall(t) for t in texts)
