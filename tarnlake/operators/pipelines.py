@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tarnlake.functions import clean, text
 from tarnlake.operators.lookup import HOT_LEAST, hot_keys, lookup_join
@@ -20,17 +22,57 @@ def map_text(c: Column) -> Column:
     return clean.normalize_spaces(text.drop_repeated_sentences(clean.strip_copyright(c)))
 
 
+_URL, _GARBLED = re.compile(r"https?://\S+"), re.compile(r"[^\x20-\x7e\u4e00-\u9fa5]+")
+_NOT_WORD, _HAN_SPACE, _NO_KEY = re.compile(r"([^0-9A-Za-z_\u4e00-\u9fa5])\1+"), re.compile(r"(?<=[\u4e00-\u9fa5]) +"), re.compile(r"[^a-zA-Z0-9\u4e00-\u9fa5]+")
+_BLOCK, _TOLD, _BREAK = re.compile(r"/\*[^*]*\*+(?:[^*/][^*]*\*+)*/"), re.compile("(?i)copyright | 版权"), re.compile(r"([.!?])(.)")
+
+
+@lru_cache(maxsize=1)
+def _special() -> re.Pattern:
+    """The special signs among those that ``strip_garbled`` leaves."""
+    return re.compile("[" + re.escape("".join(x for x in clean._special_set() if not _GARBLED.match(x))) + "]+")
+
+
+def web_text(t: str | None, least: int = 50) -> str | None:
+    """A web text cleaned, None if it is dropped: what ``strip_urls``, ``strip_garbled``, ``keep_special`` up to 0.5, ``clean_common``,
+    ``map_text`` and ``keep_line`` say one after the other. Only printable ASCII and U+4E00-9FA5 pass the second, so all that these do with
+    line ends, control characters, wide signs, other spaces and NFKC has nothing left to act on, and a text is one line.
+    """
+    if t is None:
+        return None
+    t = _GARBLED.sub("", _URL.sub("", t))
+    if len(t) < least or 2 * (len(t) - len(_special().sub("", t))) > len(t):  # no later step makes a text longer
+        return None
+    t = _HAN_SPACE.sub("", _NOT_WORD.sub(r"\1", t.rstrip(" ")))
+    if (m := _BLOCK.search(t)) and _TOLD.search(m[0]):
+        t = t[: m.start()] + t[m.end() :]
+    if t.startswith(("//", "#", "--")):
+        return None
+    sentences, known = _BREAK.sub(r"\1\n\2", t).split("\n"), set()
+    for i, s in enumerate(sentences):
+        if len(k := _NO_KEY.sub("", s)) >= 3:
+            if k in known:
+                sentences[i] = ""
+            known.add(k)
+    t = "".join(sentences).strip(" ")
+    return t if len(t) >= least else None
+
+
+@F.pandas_udf(StringType())
+def _web_texts(texts: pd.Series) -> pd.Series:
+    return texts.map(web_text)
+
+
 def clean_web(df: DataFrame, column: str = "text", normalize: bool = True, perplexity: DataFrame | None = None, key: str = "doc_id", most: float = 2500.0) -> DataFrame:
     """Web texts: addresses and foreign signs removed, texts of over half special signs dropped, cleaned, mapped,
     kept if not too perplexing (``perplexity``: key, perplexity) and long enough. Rows that fail are left out.
 
     After common cleaning no line end survives, so a text that begins with # is one comment line and becomes empty.
+    ``normalize`` changes nothing: what is left after foreign signs are removed is in NFKC.
     """
-    c = clean.strip_garbled(clean.strip_urls(F.col(column)))
-    out = df.withColumn(column, c).where(clean.keep_special(F.col(column), 0.0, 0.5)).withColumn(column, map_text(clean.clean_common(F.col(column), normalize)))
-    if perplexity is not None:
-        out = out.join(perplexity.where(F.col("perplexity") <= most).select(key), key, "left_semi")
-    return out.where(clean.keep_line(F.col(column)))
+    # were it deterministic, the filter would be pushed below it and every text cleaned twice
+    out = df.withColumn(column, _web_texts.asNondeterministic()(F.col(column))).where(F.col(column).isNotNull())
+    return out if perplexity is None else out.join(perplexity.where(F.col("perplexity") <= most).select(key), key, "left_semi")
 
 
 def clean_paper(df: DataFrame, column: str = "text", normalize: bool = True, perplexity: DataFrame | None = None, key: str = "doc_id", most: float = 2500.0) -> DataFrame:

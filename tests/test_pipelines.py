@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnlake import api
-from tarnlake.functions import models, tokenizers
+from tarnlake.functions import clean, models, text, tokenizers
 from tarnlake.operators import pipelines
 from tarnlake.sources import files
 
@@ -20,6 +20,21 @@ def test_web_and_paper(spark):
     assert {r.doc_id for r in pipelines.clean_paper(df, perplexity=ppl).collect()} == {2}
 
 
+def test_web_texts_once(spark):
+    """Each text is cleaned by one function called once, and as by the column functions one after the other."""
+    tail = " and the harbour stays open to all who come. It is long enough."
+    odd = ["", " ", "/* Copyright 1 */", "/* other */", "/*", "x. x. Same one here. Same one here?", "水果 很甜。水果 ", "!!  __ ......a", "龥龦 一上", "ﬁ１é\u3000", "a\r\n\n\tb", "“a.”b ’", "https://a.b/c\u3000", "# ", "/" + "/* copyright */" + "/", "1 2 3 4 5 6 7 8 9 - - - - - - - - ; ; ; ; ; ; , , , , , , , 1 2 3 4 5 6 7 8 9"]
+    df = spark.createDataFrame([(i, a + tail + b) for i, (a, b) in enumerate([*((x, "") for x in odd), *(("", x) for x in odd)])], "doc_id long, text string")
+    c = F.col("text")
+    steps = df.withColumn("text", clean.strip_garbled(clean.strip_urls(c))).where(clean.keep_special(c, 0.0, 0.5)).localCheckpoint()
+    for f in (clean.clean_common, clean.strip_copyright, text.drop_repeated_sentences, clean.normalize_spaces):
+        steps = steps.withColumn("text", f(c)).localCheckpoint()
+    web = pipelines.clean_web(df)
+    assert set(web.collect()) == set(steps.where(clean.keep_line(c)).collect())
+    plan = web._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and len(plan) < 5_000
+
+
 def test_small_steps(spark):
     df = spark.createDataFrame([("a good answer with many words in it",), ("",), (None,)], "t string")
     s = [r[0] for r in df.select(pipelines.message_score(F.col("t"))).collect()]
