@@ -1,6 +1,7 @@
 import json
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,6 +182,27 @@ def test_embedded_keep(spark):
     assert vectors.embedded_keep(chunked.limit(0)).count() == 0
 
 
+def test_earlier_hits_by_bounds(spark):
+    """The search takes full products of few pairs only, and finds what all products find."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 64)) * (0.9 ** np.arange(64))
+    v = (centres[rng.integers(0, 12, 900)] + 0.4 * rng.normal(size=(900, 64)) * (0.95 ** np.arange(64))).astype(np.float32)
+    v[600:900:2] = v[0:300:2] + 0.05 * rng.normal(size=(150, 64)).astype(np.float32)
+    v[5] = 0
+    df = spark.createDataFrame([(i // 2, i % 2, 2, x.tolist()) for i, x in enumerate(v)], "text_no long, chunk_no int, n_chunks int, embedding array<float>")
+    u = vectors.unit_rows(pd.Series(list(v)))
+    axes = vectors.bounding_axes(u, 0.95)
+    bound, whole = (lambda x: x @ x.T)(vectors.bounded(u, axes)), u @ u.T
+    assert (bound >= whole - 1e-5).all() and axes.shape[1] < 64 and (bound >= 0.95).mean() < 0.2
+    want = set()
+    for i in range(900):
+        near = sorted((-whole[i, j], j // 2, j % 2) for j in range(i // 2 * 2) if whole[i, j] >= 0.95)[:5]
+        want |= {(i // 2, i % 2, n[1]) for n in near}
+    assert len(want) > 150
+    for block in (70, 32_768):
+        assert {(r.text_id, r.chunk_no, r.prefix) for r in vectors.earlier_hits(df, df, 5, 0.95, block).collect()} == want
+
+
 def test_import_drops_near_repeats(spark, tmp_path):
     words = " ".join(f"w{i}" for i in range(60))
     for k, lines in enumerate(([words, words + " more", "the harbour and the ferry"], [words + " again", "a wholly new line of text"])):
